@@ -44,37 +44,24 @@ def batch_statistics(df: DataFrame, batch: str, score: str, tie: str, label: str
     return sums.join(marks.drop("n_rows"), batch)
 
 
-def _long(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    values = df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features])
-    long = values.unpivot(list(keep), list(features), "feature", "value")
-    return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+def _value_counts(df: DataFrame, features: Sequence[str], batch: str, numbers: Sequence[int]) -> DataFrame:
+    """Counts of every (feature, value), one column per batch (0 is the reference), with order buckets.
 
-
-def _feature_splits(df: DataFrame, features: Sequence[str]) -> dict[str, list[float]]:
-    """Value boundaries of every feature: one sketch over all of them."""
+    One sketch finds every feature's value boundaries; the buckets are marked before the columns are
+    unfolded, so the input is read once for all features.
+    """
+    numeric = df.select(batch, *[F.col(f).cast("double").alias(f) for f in features])
     parts = ordering.default_parts(df)
-    levels = [i / parts for i in range(1, parts)]
-    found = df.select(*[F.col(f).cast("double").alias(f) for f in features]).approxQuantile(
-        list(features), levels, 0.25 / parts)
-    return {f: sorted(set(q)) for f, q in zip(features, found)}
-
-
-def _value_counts(df: DataFrame, features: Sequence[str], batch: str, splits: dict[str, list[float]], numbers: Sequence[int]) -> DataFrame:
-    """Counts of every (feature, value): one column per batch, 0 being the reference."""
-    long = _long(df, features, [batch])
-    # hot values collapse on the map side
-    counted = long.groupBy("feature", "value", batch).agg(F.count("*").alias("n"))
-    wide = counted.groupBy("feature", "value").agg(
-        *[F.coalesce(F.sum(F.when(F.col(batch) == b, F.col("n"))), F.lit(0)).alias(f"n{b}") for b in numbers])
-    out = None
-    for f in features:      # bucket edges differ by feature; a handful of column names
-        part = wide.filter(F.col("feature") == f)
-        inner = splits[f]
-        cut = (Bucketizer(inputCol="value", outputCol="_b", splits=[-ordering.INFINITY, *inner, ordering.INFINITY])
-               .transform(part).withColumn(ordering.BUCKET, F.col("_b").cast("long")).drop("_b")
-               if inner else part.withColumn(ordering.BUCKET, F.lit(0).cast("long")))
-        out = cut if out is None else out.unionByName(cut)
-    return out
+    sketches = numeric.approxQuantile(list(features), [i / parts for i in range(1, parts)], 0.25 / parts)
+    edges = [[-ordering.INFINITY, *sorted(set(q)), ordering.INFINITY] for q in sketches]
+    edges = [e if len(e) > 2 else [-ordering.INFINITY, 0.0, ordering.INFINITY] for e in edges]
+    marks = [f"_b_{f}" for f in features]
+    marked = Bucketizer(inputCols=list(features), outputCols=marks, splitsArray=edges, handleInvalid="keep").transform(numeric)
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias(ordering.KEY), F.col(m).cast("long").alias(ordering.BUCKET))
+                      for f, m in zip(features, marks)])
+    long = marked.select(batch, F.inline(cells)).filter(F.col(ordering.KEY).isNotNull() & ~F.isnan(ordering.KEY))
+    count = lambda b: F.count(F.when(F.col(batch) == b, 1)).alias(f"n{b}")
+    return long.groupBy("feature", ordering.BUCKET, ordering.KEY).agg(*map(count, numbers))
 
 
 def ks_statistics(df: DataFrame, features: Sequence[str], batch: str, n_batches: int = N_BATCHES) -> DataFrame:
@@ -83,22 +70,13 @@ def ks_statistics(df: DataFrame, features: Sequence[str], batch: str, n_batches:
     Sides with too few values yield no row.
     """
     numbers = list(range(n_batches + 1))
-    counts = _value_counts(df, features, batch, _feature_splits(df, features), numbers)
-    cells = Window.partitionBy("feature", ordering.BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    local = counts.withColumns({f"_in{b}": F.sum(f"n{b}").over(cells) for b in numbers})
-    sums = counts.groupBy("feature", ordering.BUCKET).agg(*[F.sum(f"n{b}").alias(f"_own{b}") for b in numbers])
-    group = Window.partitionBy("feature")
-    before = group.orderBy(ordering.BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    totals = sums.select(
-        "feature", ordering.BUCKET,
-        *[F.coalesce(F.sum(f"_own{b}").over(before), F.lit(0)).alias(f"_off{b}") for b in numbers],
-        *[F.sum(f"_own{b}").over(group).alias(f"_tot{b}") for b in numbers])
-    share = lambda b: F.try_divide((F.col(f"_off{b}") + F.col(f"_in{b}")).cast("double"), F.col(f"_tot{b}"))
-    joined = local.join(totals, ["feature", ordering.BUCKET])
-    wide = joined.groupBy("feature").agg(
-        F.max("_tot0").alias("n_reference"),
+    counts = _value_counts(df, features, batch, numbers)
+    run = ordering.running_over_buckets(counts, {f"n{b}": F.col(f"n{b}") for b in numbers}, ["feature"])
+    share = lambda b: F.try_divide(F.col(f"cum_n{b}").cast("double"), F.col(f"tot_n{b}"))
+    wide = run.groupBy("feature").agg(
+        F.max("tot_n0").alias("n_reference"),
         *[F.max(F.abs(share(b) - share(0))).alias(f"_d{b}") for b in numbers[1:]],
-        *[F.max(f"_tot{b}").alias(f"_n{b}") for b in numbers[1:]])
+        *[F.max(f"tot_n{b}").alias(f"_n{b}") for b in numbers[1:]])
     rows = F.array(*[F.struct(F.lit(b).alias(batch), F.col(f"_n{b}").alias("n_batch"), F.col(f"_d{b}").alias("distance"))
                      for b in numbers[1:]])
     return wide.select("feature", "n_reference", F.inline(rows)).filter(

@@ -107,6 +107,18 @@ def _match(by: Sequence[str], left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, [*by, BUCKET])
 
 
+def running_over_buckets(cut: DataFrame, measures: Mapping[str, Column], by: Sequence[str] = (),
+                         tie: str | None = None) -> DataFrame:
+    """Running sums of rows that already carry the order key and the bucket number."""
+    cells = Window.partitionBy(*by, BUCKET).orderBy(KEY, *([tie] if tie else []))
+    upto = cells.rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.withColumns({f"_in_{m}": F.sum(c).over(upto) for m, c in measures.items()})
+    totals = _totals(cut, by, measures).drop(*[f"own_{m}" for m in measures])
+    out = _match(by, local, totals).withColumns(
+        {f"cum_{m}": F.col(f"off_{m}") + F.col(f"_in_{m}") for m in measures})
+    return out.drop(KEY, BUCKET, TIE, *[f"_in_{m}" for m in measures], *[f"off_{m}" for m in measures])
+
+
 def running_sums(
     df: DataFrame,
     order_by: str,
@@ -124,15 +136,7 @@ def running_sums(
     """
     keyed = _keyed(df, order_by, tie, descending)
     plan = buckets or plan_buckets(keyed, KEY, TIE if tie else None, parts)
-    cut = assign_buckets(keyed, plan, KEY, TIE if tie else None)
-    cells = Window.partitionBy(*by, BUCKET).orderBy(KEY, *([tie] if tie else []))
-    upto = cells.rowsBetween(Window.unboundedPreceding, 0)
-    local = cut.withColumns({f"_in_{m}": F.sum(c).over(upto) for m, c in measures.items()})
-    totals = _totals(cut, by, measures).drop(*[f"own_{m}" for m in measures])
-    out = _match(by, local, totals).withColumns(
-        {f"cum_{m}": F.col(f"off_{m}") + F.col(f"_in_{m}") for m in measures})
-    spare = [KEY, BUCKET, *([TIE] if tie else [])]
-    return out.drop(*spare, *[f"_in_{m}" for m in measures], *[f"off_{m}" for m in measures])
+    return running_over_buckets(assign_buckets(keyed, plan, KEY, TIE if tie else None), measures, by, tie)
 
 
 def with_rank(
