@@ -6,6 +6,8 @@ and survive a lost executor.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +16,8 @@ from pyspark.sql import functions as F
 from queuecraft.operators import metrics, ordering
 
 SPAN = float(2 ** 32)
-# Upper ends of the Poisson(1) distribution function at 0, 1, 2, ...
-POISSON_ONE = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
-               0.9994058151824183, 0.9999167588507119, 0.9999897508033253, 0.9999988747974020, 0.9999998885745217]
+# distribution function of Poisson(1) at 0, 1, 2, ... up to where the rest is below 1e-10
+POISSON_ONE = list(itertools.accumulate(math.exp(-1) / math.factorial(i) for i in range(13)))
 
 
 def uniform(*parts: Column | str) -> Column:
