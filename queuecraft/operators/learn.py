@@ -170,7 +170,7 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
     for f in features:
         shuffled = resample.permute_column(df, key, f, repeats, seed).drop(f)
         swapped = df.drop(f).join(shuffled, key).withColumnRenamed(f"{f}_permuted", f)
-        parts.append(swapped.select(key, label, *features, "repeat", F.lit(f).alias("feature")))
+        parts.append(swapped.select(*df.columns, "repeat", F.lit(f).alias("feature")))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)

@@ -319,4 +319,4 @@ LINEAR = """linear_rows AS (
   SELECT l.*, """ + ", ".join(f"{w!r}::DOUBLE * ({c} - m_{c}) AS phi_{c}" for c, w in LINEAR_WEIGHTS.items()) + """
   FROM linear_rows l, means), contributions AS (
   """ + "\n  UNION ALL ".join(
-    f"SELECT id, label, {i} AS at, '{c}' AS feature, {c} AS value, phi_{c} AS phi FROM phis" for i, c in enumerate(LINEAR_WEIGHTS)) + ")"
+    f"SELECT id, label, {i} AS place, '{c}' AS feature, {c} AS value, phi_{c} AS phi FROM phis" for i, c in enumerate(LINEAR_WEIGHTS)) + ")"
