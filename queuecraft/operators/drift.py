@@ -40,7 +40,7 @@ def batch_statistics(df: DataFrame, batch: str, score: str, tie: str, label: str
         F.stddev_pop(score).alias("std_score"), F.count(F.when(in_top, 1)).alias("top_count"),
         F.count(F.when(in_mid, 1)).alias("middle_count"),
         F.coalesce(F.avg(F.when(in_top, F.col(label))), F.lit(0.0)).alias("top_positive_rate"))
-    marks = ordering.quantiles(rows, score, tie, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}, by=[batch])
+    marks = ordering.quantiles(rows, score, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}, by=[batch])
     return sums.join(marks.drop("n_rows"), batch)
 
 

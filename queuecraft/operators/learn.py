@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
@@ -16,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import metrics, prep, resample
+from queuecraft.session import staged
 
 SEED = 42
 
@@ -68,32 +72,36 @@ def score_with(model: Model, df: DataFrame, keep: Sequence[str], out: str = "sco
     return made.select(*keep, positive_probability(made).alias(out))
 
 
-def out_of_fold(df: DataFrame, key: str, label: str, fold: str, folds: int, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
+def out_of_fold(df: DataFrame, key: str, label: str, fold: str, folds: int, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+                parallelism: int = 4) -> DataFrame:
     """Every row scored by the model that did not see it.
 
     ``fit`` takes the training rows and gives back a scorer that adds ``score``; preprocessing belongs
     inside it, so nothing leaks across folds. The loop is over models, never over rows.
     """
-    parts = []
-    for i in range(folds):
-        scorer = fit(df.filter(F.col(fold) != i))
-        parts.append(scorer(df.filter(F.col(fold) == i)).select(key, label, fold, "score"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def fitter(estimator: Callable[[], Estimator], numeric: Sequence[str], categorical: Sequence[str], key: str, label: str,
-           keep: Sequence[str] = ()) -> Callable[[DataFrame], Callable[[DataFrame], DataFrame]]:
-    """A fit-and-score pair that fits the preprocessing and the class weight on the training rows only."""
+    def one(i: int) -> DataFrame:
+        scored = fit(df.filter(F.col(fold) != i))(df.filter(F.col(fold) == i))
+        return scored.select(key, label, fold, *[c for c in ("model",) if c in scored.columns], "score")
+
+    with ThreadPool(min(folds, parallelism)) as pool:     # the fits' jobs share the cluster
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def fitter(families: Mapping[str, Callable[[], Estimator]], numeric: Sequence[str], categorical: Sequence[str], key: str,
+           label: str, keep: Sequence[str] = ()) -> Callable[[DataFrame], Callable[[DataFrame], DataFrame]]:
+    """Fit-and-score pair for several model families: preprocessing and class weight are fitted once on the
+    training rows and shared by the families. The scorer gives one row per input row and ``model``."""
     def fit(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        ready = prep.Preprocessor.fit(train, numeric, categorical, key)
+        ready = prep.Preprocessor.fit(train, numeric, categorical)
         vectors = ready.transform(train, [key, label], vector="features").withColumn("label", F.col(label).cast("double"))
-        model = estimator().fit(prep.add_class_weight(vectors, "label"))
+        weighted = staged(prep.add_class_weight(vectors, "label"))
+        models = {name: make().fit(weighted) for name, make in families.items()}
 
         def scorer(df: DataFrame) -> DataFrame:
-            return score_with(model, ready.transform(df, [key, label, *keep], vector="features"), [key, label, *keep])
+            rows = staged(ready.transform(df, [key, label, *keep], vector="features"))
+            parts = [score_with(m, rows, [key, label, *keep]).withColumn("model", F.lit(name)) for name, m in models.items()]
+            return reduce(DataFrame.unionByName, parts)
         return scorer
     return fit
 
@@ -171,9 +179,7 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
         shuffled = resample.permute_column(df, key, f, repeats, seed).drop(f)
         swapped = df.drop(f).join(shuffled, key).withColumnRenamed(f"{f}_permuted", f)
         parts.append(swapped.select(*df.columns, "repeat", F.lit(f).alias("feature")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    rows = reduce(DataFrame.unionByName, parts)
     after = metrics.areas(scorer(rows), "score", label, by=["feature", "repeat"])
     before = metrics.average_precision(scorer(df), "score", label).first()["average_precision"]
     drop = F.lit(before) - F.col("average_precision")

@@ -129,7 +129,7 @@ def calibration_curve(df: DataFrame, score: str, label: str, bins: int = 10) ->
 def evaluate(df: DataFrame, score: str, tie: str, label: str, share: float = triage.TOP_SHARE) -> DataFrame:
     """One row: both areas, precision and recall in the top share, score at its percentile."""
     cut = triage.cut_points(df, score, tie, {"k": triage.at_least_one(share)})["k"]
-    level = ordering.quantiles(df.select(score, tie), score, tie, {"q": 1 - share}).first()["q"]
+    level = ordering.quantiles(df.select(score), score, {"q": 1 - share}).first()["q"]
     inside = F.sum(F.when(triage.within(cut, score, tie), F.col(label)))
     top = df.agg(inside.alias("_hits"), F.sum(label).alias("_all")).select(
         (F.coalesce("_hits", F.lit(0)) / F.lit(cut.rank)).alias("precision_top"),

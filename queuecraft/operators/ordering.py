@@ -193,7 +193,6 @@ def rows_at_ranks(
 def quantiles(
     df: DataFrame,
     value: str,
-    tie: str,
     levels: Mapping[str, float],
     *,
     by: Sequence[str] = (),
@@ -201,28 +200,37 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles by linear interpolation, one column per level and one row per group.
 
-    Nulls are left out. Unlike the built-in exact percentile no group is held in one buffer.
+    Nulls are left out. Unlike the built-in exact percentile no group is held in one buffer: buckets are
+    counted first, and only those that hold a wanted position go on, as counts per distinct value.
     """
-    def place(p: float) -> Column:
-        # double arithmetic, as in the usual linear-interpolation rule
-        return lambda n: F.floor((n - 1).cast("double") * F.lit(float(p))) + 1
-
-    def place_after(p: float):
-        return lambda n: F.least(F.floor((n - 1).cast("double") * F.lit(float(p))) + 2, n)
-
-    ranks: dict[str, Callable[[Column], Column]] = {}
-    for name, p in levels.items():
-        ranks[f"{name}|lo"] = place(p)
-        ranks[f"{name}|hi"] = place_after(p)
-    values = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    picked = rows_at_ranks(values.select(*by, value, tie), value, tie, ranks, by=by, descending=False, parts=parts)
-    at = lambda name: F.max(F.when(F.col("cut") == name, F.col(value).cast("double")))
+    values = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*by, value)
+    keyed = _keyed(values, value, None, descending=False)
+    cut = assign_buckets(keyed, plan_buckets(keyed, KEY, None, parts))
+    spot = lambda n, p: (n - 1).cast("double") * F.lit(float(p))
+    asked = F.flatten(F.array(*[
+        F.array(*[F.struct(F.lit(f"{name}|{end}").alias("cut"),
+                           F.least(F.floor(spot(F.col("tot_pos"), p)) + step, F.col("tot_pos")).alias("rank"))
+                  for end, step in (("lo", 1), ("hi", 2))])
+        for name, p in levels.items()]))
+    start, end = F.col("off_pos"), F.col("off_pos") + F.col("own_pos")
+    wanted = (_totals(cut, by, {"pos": F.lit(1)})
+              .withColumn("_asked", F.filter(asked, lambda a: (a["rank"] > start) & (a["rank"] <= end)))
+              .filter(F.size("_asked") > 0).select(*by, BUCKET, "off_pos", "tot_pos", "_asked"))
+    near = cut.join(wanted.select(*by, BUCKET), [*by, BUCKET], "left_semi")
+    counted = near.groupBy(*by, BUCKET, KEY).agg(F.count("*").alias("_n"))
+    order = Window.partitionBy(*by, BUCKET).orderBy(KEY).rowsBetween(Window.unboundedPreceding, 0)
+    placed = _match(by, counted.withColumn("_upto", F.sum("_n").over(order)), wanted)
+    here = F.col("off_pos") + F.col("_upto")
+    hits = F.filter("_asked", lambda a: (a["rank"] > here - F.col("_n")) & (a["rank"] <= here))
+    picked = placed.select(*by, KEY, F.col("tot_pos").alias("n_rows"), F.explode(hits).alias("_hit"))
+    at = lambda name: F.max(F.when(F.col("_hit.cut") == name, F.col(KEY)))
     found = picked.groupBy(*by).agg(
         F.max("n_rows").alias("n_rows"),
         *[at(f"{name}|{end}").alias(f"_{name}_{end}") for name in levels for end in ("lo", "hi")])
+
     def blend(name: str, p: float) -> Column:
-        spot = (F.col("n_rows") - 1).cast("double") * F.lit(float(p))
+        at_p = spot(F.col("n_rows"), p)
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        return low + (high - low) * (spot - F.floor(spot))
+        return low + (high - low) * (at_p - F.floor(at_p))
 
     return found.select(*by, "n_rows", *[blend(name, p).alias(name) for name, p in levels.items()])

@@ -19,11 +19,10 @@ UNKNOWN = "Unknown"
 MAX_LEVELS = 100_000     # levels of one column that may travel to the driver as column names
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], key: str) -> dict[str, float]:
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Medians of several columns in one job; each column is a group of the unfolded table."""
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
-    long = df.select(key, F.inline(cells))
-    rows = ordering.quantiles(long, "value", key, {"median": 0.5}, by=["feature"]).collect()
+    rows = ordering.quantiles(df.select(F.inline(cells)), "value", {"median": 0.5}, by=["feature"]).collect()
     return {r["feature"]: r["median"] for r in rows}
 
 
@@ -84,8 +83,8 @@ class Preprocessor:
     levels: dict[str, list[str]] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key: str) -> "Preprocessor":
-        medians = exact_medians(train, numeric, key) if numeric else {}
+    def fit(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> "Preprocessor":
+        medians = exact_medians(train, numeric) if numeric else {}
         medians = {c: medians.get(c, 0.0) for c in numeric}
         moments = fit_moments(fill_values(train, medians), numeric) if numeric else {}
         return cls(list(numeric), list(categorical), medians, {c: list(v) for c, v in moments.items()},

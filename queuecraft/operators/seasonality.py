@@ -23,7 +23,7 @@ def group_quality(df: DataFrame, by: str, score: str, tie: str, label: str) -> D
     areas = metrics.areas(rows, score, label, by=[by])
     cut = ordering.rows_at_ranks(rows, score, tie, {"k": triage.at_least_one(triage.TOP_SHARE)}, by=[by])
     cut = cut.select(by, F.col(score).alias("_cut_s"), F.col(tie).alias("_cut_t"), F.col("rank").alias("_k"))
-    level = ordering.quantiles(rows, score, tie, {"_q": 1 - triage.TOP_SHARE}, by=[by]).select(by, "_q")
+    level = ordering.quantiles(rows, score, {"_q": 1 - triage.TOP_SHARE}, by=[by]).select(by, "_q")
     marks = cut.join(level, by)     # one row per group
     in_k = (F.col(score) > F.col("_cut_s")) | ((F.col(score) == F.col("_cut_s")) & (F.col(tie) <= F.col("_cut_t")))
     top = F.col(score) >= F.col("_q")

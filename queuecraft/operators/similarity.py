@@ -44,7 +44,7 @@ def _stack(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
-def _top_k(near: DataFrame, k: int) -> DataFrame:
+def top_k(near: DataFrame, k: int) -> DataFrame:
     """k of a few candidates per query; the candidates are already k per block."""
     order = Window.partitionBy("query_id").orderBy("distance", "passage_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -55,8 +55,8 @@ def knn(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataFrame:
     named ``query_id`` and ``passage_id``. The distance is the squared Euclidean one."""
     head = queries.select("query_id", "vector").limit(QUERY_LIMIT + 1).collect()   # size check of the query side
     if len(head) <= QUERY_LIMIT:
-        return _top_k(_few_queries(head, passages, k), k)
-    return _top_k(_many_queries(queries, passages, k), k)
+        return top_k(_few_queries(head, passages, k), k)
+    return knn_blocks(queries, passages, k)
 
 
 def _few_queries(rows: Sequence, passages: DataFrame, k: int) -> DataFrame:
@@ -81,17 +81,19 @@ def _few_queries(rows: Sequence, passages: DataFrame, k: int) -> DataFrame:
     return passages.select("passage_id", "vector").mapInPandas(scan, NEAR_SCHEMA)
 
 
-def _many_queries(queries: DataFrame, passages: DataFrame, k: int) -> DataFrame:
+def knn_blocks(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The same for any number of queries: every block of queries meets every block of passages once."""
     n_q = max(1, -(-queries.count() // QUERY_BLOCK))
     n_p = max(1, -(-passages.count() // PASSAGE_BLOCK))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("query_id", "vector", block("query_id", n_q).alias("qb")).withColumn("pb", every(n_p).cast("long"))
-    right = passages.select("passage_id", "vector", block("passage_id", n_p).alias("pb")).withColumn("qb", every(n_q).cast("long"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = queries.select("query_id", "vector", block("query_id", n_q).alias("qb")).withColumn("pb", every(n_p))
+    right = passages.select("passage_id", "vector", block("passage_id", n_p).alias("pb")).withColumn("qb", every(n_q))
 
     def meet(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
             return pd.DataFrame({"query_id": [], "passage_id": [], "distance": []})
         return nearest_in_block(q["query_id"].to_numpy(), _stack(q["vector"]), p["passage_id"].to_numpy(), _stack(p["vector"]), k)
 
-    return left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInPandas(meet, NEAR_SCHEMA)
+    near = left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInPandas(meet, NEAR_SCHEMA)
+    return top_k(near, k)

@@ -32,8 +32,9 @@ def saved_nodes(spark: SparkSession, path: str) -> tuple[pd.DataFrame, list[floa
         raise ValueError("ensemble too large to explain")
     if (rows["kinds"] >= 0).any():
         raise ValueError("categorical splits: one-hot the input first")
-    weights = spark.read.parquet(f"{path}/treesMetadata").select("treeID", "weights").orderBy("treeID").collect()
-    return rows, [w["weights"] for w in weights]
+    # the saved table has positional columns: tree number, metadata, weight
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "metadata", "weight").orderBy("treeID").collect()
+    return rows, [w["weight"] for w in weights]
 
 
 def _leaf_table(value: float, shares: list[float]) -> np.ndarray:

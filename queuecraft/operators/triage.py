@@ -88,12 +88,11 @@ def rank_cut_by(df: DataFrame, score: str, tie: str, by: Sequence[str], top: flo
             .drop("_top_s", "_top_t", "_mid_s", "_mid_t"))
 
 
-def percentile_cut(df: DataFrame, score: str, tie: str, top: float = TOP_SHARE, middle: float = MIDDLE_SHARE,
+def percentile_cut(df: DataFrame, score: str, top: float = TOP_SHARE, middle: float = MIDDLE_SHARE,
                    out: str = "bucket") -> DataFrame:
     """Percentile cut: score at or above the interpolated percentile, so ties all go up together."""
-    found = ordering.quantiles(df.select(score, tie), score, tie,
-                               {"top": 1 - top, "mid": 1 - top - middle}).first()
-    if found is None:
+    found = ordering.quantiles(df.select(score), score, {"top": 1 - top, "mid": 1 - top - middle}).first()
+    if found is None or found["top"] is None:
         return df.withColumn(out, F.lit(REST))
     s = F.col(score)
     return df.withColumn(out, bucket_of(s >= F.lit(found["top"]), s >= F.lit(found["mid"])))

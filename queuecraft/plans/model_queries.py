@@ -6,8 +6,9 @@ everything derived from it has one.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.functions import features as claim_features
@@ -33,7 +34,7 @@ _WC = "WITH " + V.CLAIMS
 SELECT PolicyNumber, coalesce(Deductible::DOUBLE, md) AS Deductible FROM claims, m""")
 def impute_median(spark, sf):
     c = V.claims(spark, sf).select(KEY, "Deductible")
-    return prep.fill_values(c, prep.exact_medians(c, ["Deductible"], KEY))
+    return prep.fill_values(c, prep.exact_medians(c, ["Deductible"]))
 
 
 @query("medians", _WC + """
@@ -45,7 +46,7 @@ def medians(spark, sf):
 
     c = V.claims(spark, sf)
     cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("value")) for n in ("Age", "Deductible", "RepNumber")])
-    return ordering.quantiles(c.select(KEY, F.inline(cells)), "value", KEY, {"median": 0.5}, by=["feature"]).drop("n_rows")
+    return ordering.quantiles(c.select(F.inline(cells)), "value", {"median": 0.5}, by=["feature"]).drop("n_rows")
 
 
 @query("standard_scale", "WITH " + V.SCORED + """, m AS (SELECT avg(score) AS a, stddev_pop(score) AS s FROM scored)
@@ -78,7 +79,7 @@ def _part(df, name):
 def preprocess(spark, sf):
     """Preprocessor fitted on the training rows, applied to all: one row per claim, one column per feature."""
     rows = staged(_claims(spark, sf))
-    ready = prep.Preprocessor.fit(_part(rows, "train"), NUMERIC, CATEGORICAL, KEY)
+    ready = prep.Preprocessor.fit(_part(rows, "train"), NUMERIC, CATEGORICAL)
     return ready.transform(rows, [KEY, "split"])
 
 
@@ -86,7 +87,7 @@ def preprocess(spark, sf):
 def build_dataset(spark, sf):
     """Scan, features, split, fit, transform, weight: rows, positives, feature count and weight per split."""
     rows = staged(_claims(spark, sf))
-    ready = prep.Preprocessor.fit(_part(rows, "train"), NUMERIC, CATEGORICAL, KEY)
+    ready = prep.Preprocessor.fit(_part(rows, "train"), NUMERIC, CATEGORICAL)
     made = ready.transform(rows, [KEY, "split", LABEL], vector="features")
     weight = prep.class_weight(_part(rows, "train"), LABEL).first()["positive_weight"]
     return made.groupBy("split").agg(
@@ -96,7 +97,7 @@ def build_dataset(spark, sf):
 
 def _vectors(spark, sf):
     rows = staged(_claims(spark, sf))
-    ready = prep.Preprocessor.fit(_part(rows, "train"), NUMERIC, CATEGORICAL, KEY)
+    ready = prep.Preprocessor.fit(_part(rows, "train"), NUMERIC, CATEGORICAL)
     made = ready.transform(rows, [KEY, "split", LABEL], vector="features").withColumn("label", F.col(LABEL).cast("double"))
     return ready, staged(prep.add_class_weight(made, "label"))
 
@@ -133,8 +134,8 @@ def _folded(spark, sf, k):
     return staged(resample.stratified_folds(wide, KEY, LABEL, k))
 
 
-def _oof(rows, estimator, numeric, categorical, k):
-    fit = learn.fitter(estimator, numeric, categorical, KEY, LABEL, keep=["fold"])
+def _oof(rows, families, numeric, categorical, k):
+    fit = learn.fitter(families, numeric, categorical, KEY, LABEL, keep=["fold"])
     return learn.out_of_fold(rows, KEY, LABEL, "fold", k, fit)
 
 
@@ -146,28 +147,26 @@ _QUICK_LR = partial(learn.logistic, maxIter=10, regParam=0.01)
 @query("oof_scores")
 def oof_scores(spark, sf):
     """Every claim scored by the model that did not see it."""
-    return _oof(_folded(spark, sf, 3), _QUICK_LR, NUMERIC, CATEGORICAL, 3)
+    return _oof(_folded(spark, sf, 3), {"logistic": _QUICK_LR}, NUMERIC, CATEGORICAL, 3)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    scored = _oof(_folded(spark, sf, 3), _SMALL_GBT, NUMERIC, CATEGORICAL, 3)
-    folds = learn.fold_scores(scored, LABEL, ["fold"])
-    return metrics.fold_summary(folds, "fold", "average_precision")
+    scored = _oof(_folded(spark, sf, 3), {"boosted": _SMALL_GBT}, NUMERIC, CATEGORICAL, 3)
+    return metrics.fold_summary(learn.fold_scores(scored, LABEL, ["fold"]), "fold", "average_precision")
+
+
+def _compared(scored, baseline):
+    folds = staged(learn.fold_scores(scored, LABEL, ["model", "fold"]))
+    gap = metrics.paired_fold_difference(folds, "fold", "model", "average_precision", baseline)
+    return metrics.fold_summary(folds, "fold", "average_precision", ["model"]).join(gap, "model", "left")
 
 
 @query("bakeoff")
 def bakeoff(spark, sf):
     """Model families on the same folds, compared with the logistic baseline."""
-    rows = _folded(spark, sf, 2)
     families = {"logistic": _QUICK_LR, "boosted": _SMALL_GBT, "forest": _SMALL_FOREST, "margin": partial(learn.margin_machine, maxIter=5)}
-    parts = [_oof(rows, e, NUMERIC, CATEGORICAL, 2).withColumn("model", F.lit(name)) for name, e in families.items()]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    folds = staged(learn.fold_scores(scored, LABEL, ["model", "fold"]))
-    gap = metrics.paired_fold_difference(folds, "fold", "model", "average_precision", "logistic")
-    return metrics.fold_summary(folds, "fold", "average_precision", ["model"]).join(gap, "model", "left")
+    return _compared(_oof(_folded(spark, sf, 2), families, NUMERIC, CATEGORICAL, 2), "logistic")
 
 
 @query("ablation")
@@ -176,13 +175,8 @@ def ablation(spark, sf):
     rows = _folded(spark, sf, 2)
     arms = {"raw": (RAW_NUMERIC, RAW_CATEGORICAL), "engineered": (NUMERIC, CATEGORICAL),
             "both": (sorted({*RAW_NUMERIC, *NUMERIC}), RAW_CATEGORICAL)}
-    parts = [_oof(rows, _QUICK_LR, n, c, 2).withColumn("model", F.lit(name)) for name, (n, c) in arms.items()]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    folds = staged(learn.fold_scores(scored, LABEL, ["model", "fold"]))
-    gap = metrics.paired_fold_difference(folds, "fold", "model", "average_precision", "raw")
-    return metrics.fold_summary(folds, "fold", "average_precision", ["model"]).join(gap, "model", "left")
+    parts = [_oof(rows, {name: _QUICK_LR}, n, c, 2) for name, (n, c) in arms.items()]
+    return _compared(reduce(DataFrame.unionByName, parts), "raw")
 
 
 @query("tune_gbt")
@@ -197,7 +191,8 @@ def tune_gbt(spark, sf):
 @query("oof_stack")
 def oof_stack(spark, sf):
     rows = _folded(spark, sf, 2)
-    base = [staged(_oof(rows, e, NUMERIC, CATEGORICAL, 2)) for e in (_QUICK_LR, _SMALL_GBT)]
+    scored = _oof(rows, {"logistic": _QUICK_LR, "boosted": _SMALL_GBT}, NUMERIC, CATEGORICAL, 2)
+    base = [scored.filter(F.col("model") == name) for name in ("logistic", "boosted")]
     model, ready = learn.stack(base, KEY, LABEL)
     return learn.score_with(model, ready, [KEY, LABEL])
 

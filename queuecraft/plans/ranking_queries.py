@@ -25,7 +25,7 @@ _PCT = V.SCORED + """, q AS (SELECT quantile_cont(score, 0.95) AS q95, quantile_
 
 @query("triage_percentile_cut", "WITH " + _PCT + " SELECT id, score, bucket FROM pcut")
 def triage_percentile_cut(spark, sf):
-    return triage.percentile_cut(V.scored(spark, sf), "score", "id").select("id", "score", "bucket")
+    return triage.percentile_cut(V.scored(spark, sf), "score").select("id", "score", "bucket")
 
 
 _THRESHOLDS = V.RANKED + """, th AS (
@@ -222,7 +222,7 @@ _CONFUSION = "WITH " + _PCT + """, c AS (
 @query("confusion_matrix", _CONFUSION + """
 SELECT tn, fp, fn, tp, round(tp / greatest(1, tp + fp), 9) AS precision, round(tp / greatest(1, tp + fn), 9) AS recall FROM c""")
 def confusion_matrix(spark, sf):
-    cut = triage.percentile_cut(V.scored(spark, sf), "score", "id")
+    cut = triage.percentile_cut(V.scored(spark, sf), "score")
     return rounded(metrics.confusion(cut, F.col("bucket") == triage.TOP, "label"), 9)
 
 
@@ -243,7 +243,7 @@ UNION ALL SELECT 'accuracy', round((tp + tn) / n, 6), round((tp + tn) / n, 6), r
 UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), n FROM f
 UNION ALL SELECT 'weighted avg', round((p0 * n0 + p1 * n1) / n, 6), round((r0 * n0 + r1 * n1) / n, 6), round((f0 * n0 + f1 * n1) / n, 6), n FROM f""")
 def classification_report(spark, sf):
-    cut = triage.percentile_cut(V.scored(spark, sf), "score", "id")
+    cut = triage.percentile_cut(V.scored(spark, sf), "score")
     return rounded(metrics.classification_report(cut, F.col("bucket") == triage.TOP, "label"))
 
 

@@ -60,7 +60,7 @@ def provider_patients(spark, sf):
 SELECT bucket, count(*) AS n_rows, sum(label) AS positives, round(avg(label), 6) AS positive_rate,
        round(CASE WHEN (SELECT avg(label) FROM c) > 0 THEN avg(label) / (SELECT avg(label) FROM c) ELSE 0 END, 6) AS enrichment FROM c GROUP BY bucket""")
 def provider_triage(spark, sf):
-    cut = triage.percentile_cut(_matrix(spark, sf), "amount_per_claim", "provider")
+    cut = triage.percentile_cut(_matrix(spark, sf), "amount_per_claim")
     return rounded(triage.bucket_summary(cut, "label"))
 
 
@@ -74,7 +74,7 @@ def class_weight(spark, sf):
 
 def _flagged(spark, sf):
     """Percentile-cut queues of the orders beside the attributes of their customers."""
-    cut = triage.percentile_cut(V.scored(spark, sf), "score", "id")
+    cut = triage.percentile_cut(V.scored(spark, sf), "score")
     c = V.table(spark, sf, "customer").select(
         "c_custkey", F.col("c_mktsegment").alias("segment"), (F.col("c_acctbal") / 100).alias("age"),
         F.when(F.col("c_nationkey") > 2, F.col("c_nationkey").cast("string")).alias("nation"))
