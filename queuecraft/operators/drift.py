@@ -33,14 +33,15 @@ def month_index(year, month_number):
 def batch_statistics(df: DataFrame, batch: str, score: str, tie: str, label: str) -> DataFrame:
     """Per batch: counts, rate, score moments and quantiles, and the rank-cut queues inside the batch."""
     rows = df.select(batch, score, tie, label)
-    queued = triage.rank_cut_by(rows, score, tie, [batch])
+    up = ordering.plan_scores(rows, score, tie)
+    queued = triage.rank_cut_by(rows, score, tie, [batch], buckets=up.mirrored())
     in_top, in_mid = (F.col("bucket") == b for b in (triage.TOP, triage.MIDDLE))
     sums = queued.groupBy(batch).agg(
         F.count("*").alias("n_rows"), F.avg(label).alias("positive_rate"), F.avg(score).alias("avg_score"),
         F.stddev_pop(score).alias("std_score"), F.count(F.when(in_top, 1)).alias("top_count"),
         F.count(F.when(in_mid, 1)).alias("middle_count"),
         F.coalesce(F.avg(F.when(in_top, F.col(label))), F.lit(0.0)).alias("top_positive_rate"))
-    marks = ordering.quantiles(rows, score, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}, by=[batch])
+    marks = ordering.quantiles(rows, score, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}, by=[batch], buckets=up)
     return sums.join(marks.drop("n_rows"), batch)
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.functions import labels
-from queuecraft.operators import triage
+from queuecraft.operators import ordering, triage
+from queuecraft.session import staged
 
 N_DRIVERS = 5
 N_WATERFALL = 10
@@ -53,12 +54,10 @@ def explain_top(df: DataFrame, key: str, score: str, label: str, share: float =
                 contributions: str = "contributions") -> DataFrame:
     """Long rows (rank, id, score, label, driver) of the top share of the table.
 
-    The cut row is looked up first, so only the top rows are ranked and unfolded.
+    The cut row is looked up first, so only the top rows are written, ranked and unfolded.
     """
-    from queuecraft.operators import ordering
-
     cut = triage.cut_points(df, score, key, {"k": triage.at_least_one(share)}).get("k")
-    top = df.filter(triage.within(cut, score, key)).select(key, score, label, contributions)
+    top = staged(df.filter(triage.within(cut, score, key)).select(key, score, label, contributions))
     ranked = ordering.with_rank(top, score, key).drop("n_rows")
     driven = ranked.withColumn("_d", top_drivers(F.col(contributions), k))
     rows = driven.select("rank", key, score, label, F.posexplode("_d").alias("place", "_one"))

@@ -16,14 +16,13 @@ from queuecraft.operators import ordering, triage
 
 
 def score_table(df: DataFrame, score: str, label: str, *, by: Sequence[str] = (), weight: str | None = None,
-                parts: int | None = None) -> DataFrame:
+                parts: int | None = None, buckets: ordering.Buckets | None = None) -> DataFrame:
     """Per distinct score, from high to low: own and running counts of rows and positives."""
     one = F.col(weight) if weight else F.lit(1)
     counted = df.groupBy(*by, score).agg(F.sum(one).alias("n"), F.sum(one * F.col(label)).alias("p"))
     if weight:
         counted = counted.filter(F.col("n") > 0)
-    buckets = None
-    if by:
+    if by and buckets is None:
         # boundaries of the pooled scores: no (group, bucket) cell can exceed one bucket
         buckets = ordering.plan_buckets(df.select((-F.col(score).cast("double")).alias("_s")), "_s", parts=parts)
     return ordering.running_sums(counted, score, {"n": F.col("n"), "p": F.col("p")}, by=by, buckets=buckets, parts=parts)

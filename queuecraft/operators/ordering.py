@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from queuecraft.operators.sizing import small_side
+
 KEY = "_key"
 TIE = "_tie"
 BUCKET = "_bucket"
@@ -33,6 +35,11 @@ class Buckets:
     hot: tuple[float, ...] = ()
     tie_splits: tuple[float, ...] = ()
 
+    def mirrored(self) -> "Buckets":
+        """The same boundaries for the opposite direction of the key."""
+        flip = lambda values: tuple(sorted(-v for v in values))
+        return Buckets(flip(self.splits), flip(self.hot), self.tie_splits)
+
 
 def default_parts(df: DataFrame) -> int:
     """As many buckets as the session shuffles into, so a bucket is about one task's share."""
@@ -59,6 +66,11 @@ def plan_buckets(df: DataFrame, key: str, tie: str | None = None, parts: int | N
     return Buckets(splits, hot, tuple(sorted(set(tie_found))))
 
 
+def plan_scores(df: DataFrame, score: str, tie: str, parts: int | None = None) -> Buckets:
+    """Boundaries for ascending order; several operators on the same scores can share them."""
+    return plan_buckets(_keyed(df.select(score, tie), score, tie, descending=False), KEY, TIE, parts)
+
+
 def _cut(df: DataFrame, source: str, target: str, splits: Sequence[float]) -> DataFrame:
     inner = [s for s in splits if s not in (INFINITY, -INFINITY)]
     if not inner:
@@ -101,12 +113,6 @@ def _totals(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) ->
     )
 
 
-def _match(by: Sequence[str], left: DataFrame, right: DataFrame) -> DataFrame:
-    """Join rows to their bucket's totals. Spark sizes the totals at run time and broadcasts them
-    only under its own threshold; otherwise both sides share the bucket partitioning."""
-    return left.join(right, [*by, BUCKET])
-
-
 def running_over_buckets(cut: DataFrame, measures: Mapping[str, Column], by: Sequence[str] = (),
                          tie: str | None = None) -> DataFrame:
     """Running sums of rows that already carry the order key and the bucket number."""
@@ -114,7 +120,8 @@ def running_over_buckets(cut: DataFrame, measures: Mapping[str, Column], by: Seq
     upto = cells.rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({f"_in_{m}": F.sum(c).over(upto) for m, c in measures.items()})
     totals = _totals(cut, by, measures).drop(*[f"own_{m}" for m in measures])
-    out = _match(by, local, totals).withColumns(
+    # the window left the rows partitioned by bucket, so they meet the totals where they are
+    out = local.join(totals, [*by, BUCKET]).withColumns(
         {f"cum_{m}": F.col(f"off_{m}") + F.col(f"_in_{m}") for m in measures})
     return out.drop(KEY, BUCKET, TIE, *[f"_in_{m}" for m in measures], *[f"off_{m}" for m in measures])
 
@@ -182,9 +189,9 @@ def rows_at_ranks(
         for name, at in ranks.items()])
     inside = totals.withColumn("_asked", F.filter(
         asked, lambda a: (a["rank"] > F.col("off_pos")) & (a["rank"] <= F.col("off_pos") + F.col("own_pos"))))
-    inside = inside.filter(F.size("_asked") > 0).select(*by, BUCKET, "off_pos", "tot_pos", "_asked")
+    inside = small_side(inside.filter(F.size("_asked") > 0).select(*by, BUCKET, "off_pos", "tot_pos", "_asked"))
     order = Window.partitionBy(*by, BUCKET).orderBy(KEY, tie)
-    placed = _match(by, cut, inside).withColumn("_at", F.col("off_pos") + F.row_number().over(order))
+    placed = cut.join(inside, [*by, BUCKET]).withColumn("_at", F.col("off_pos") + F.row_number().over(order))
     hit = placed.withColumn("_hit", F.explode("_asked")).filter(F.col("_hit.rank") == F.col("_at"))
     return (hit.withColumns({"cut": F.col("_hit.cut"), "rank": F.col("_at"), "n_rows": F.col("tot_pos")})
             .drop(KEY, TIE, BUCKET, "off_pos", "tot_pos", "_asked", "_at", "_hit"))
@@ -196,6 +203,7 @@ def quantiles(
     levels: Mapping[str, float],
     *,
     by: Sequence[str] = (),
+    buckets: Buckets | None = None,
     parts: int | None = None,
 ) -> DataFrame:
     """Exact quantiles by linear interpolation, one column per level and one row per group.
@@ -205,7 +213,7 @@ def quantiles(
     """
     values = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*by, value)
     keyed = _keyed(values, value, None, descending=False)
-    cut = assign_buckets(keyed, plan_buckets(keyed, KEY, None, parts))
+    cut = assign_buckets(keyed, buckets or plan_buckets(keyed, KEY, None, parts))
     spot = lambda n, p: (n - 1).cast("double") * F.lit(float(p))
     asked = F.flatten(F.array(*[
         F.array(*[F.struct(F.lit(f"{name}|{end}").alias("cut"),
@@ -213,13 +221,13 @@ def quantiles(
                   for end, step in (("lo", 1), ("hi", 2))])
         for name, p in levels.items()]))
     start, end = F.col("off_pos"), F.col("off_pos") + F.col("own_pos")
-    wanted = (_totals(cut, by, {"pos": F.lit(1)})
-              .withColumn("_asked", F.filter(asked, lambda a: (a["rank"] > start) & (a["rank"] <= end)))
-              .filter(F.size("_asked") > 0).select(*by, BUCKET, "off_pos", "tot_pos", "_asked"))
+    wanted = small_side(_totals(cut, by, {"pos": F.lit(1)})
+                        .withColumn("_asked", F.filter(asked, lambda a: (a["rank"] > start) & (a["rank"] <= end)))
+                        .filter(F.size("_asked") > 0).select(*by, BUCKET, "off_pos", "tot_pos", "_asked"))
     near = cut.join(wanted.select(*by, BUCKET), [*by, BUCKET], "left_semi")
     counted = near.groupBy(*by, BUCKET, KEY).agg(F.count("*").alias("_n"))
     order = Window.partitionBy(*by, BUCKET).orderBy(KEY).rowsBetween(Window.unboundedPreceding, 0)
-    placed = _match(by, counted.withColumn("_upto", F.sum("_n").over(order)), wanted)
+    placed = counted.withColumn("_upto", F.sum("_n").over(order)).join(wanted, [*by, BUCKET])
     here = F.col("off_pos") + F.col("_upto")
     hits = F.filter("_asked", lambda a: (a["rank"] > here - F.col("_n")) & (a["rank"] <= here))
     picked = placed.select(*by, KEY, F.col("tot_pos").alias("n_rows"), F.explode(hits).alias("_hit"))

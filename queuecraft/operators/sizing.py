@@ -1,0 +1,19 @@
+"""Joins against tables that are small by nature: their size is checked before they are broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL = 50_000      # rows of a few numbers or short texts: some megabytes
+
+
+def small_side(df: DataFrame, limit: int = SMALL) -> DataFrame:
+    """Work ``df`` out once and mark it for broadcast if it has at most ``limit`` rows; else give it back as it is.
+
+    The planner cannot see that an aggregate of a huge table is tiny and would shuffle the huge side to meet it.
+    """
+    found = df.limit(limit + 1).toArrow()
+    if found.num_rows > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(found, schema=df.schema))

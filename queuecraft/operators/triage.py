@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import ordering
+from queuecraft.operators.sizing import small_side
 
 # Queue names, queue shares, cost assumptions.
 TOP = "SIU"
@@ -70,10 +71,10 @@ def rank_cut(df: DataFrame, score: str, tie: str, top: float = TOP_SHARE, middle
 
 
 def rank_cut_by(df: DataFrame, score: str, tie: str, by: Sequence[str], top: float = TOP_SHARE,
-                middle: float = MIDDLE_SHARE, out: str = "bucket") -> DataFrame:
+                middle: float = MIDDLE_SHARE, out: str = "bucket", buckets: ordering.Buckets | None = None) -> DataFrame:
     """Rank cut inside every group; the groups' cut rows are joined back (two numbers a group)."""
     cuts = ordering.rows_at_ranks(df.select(*by, score, tie), score, tie,
-                                  {"top": share_count(top), "mid": share_count(top + middle)}, by=by)
+                                  {"top": share_count(top), "mid": share_count(top + middle)}, by=by, buckets=buckets)
     pick = lambda name, c: F.max(F.when(F.col("cut") == name, F.col(c)))
     wide = cuts.groupBy(*by).agg(
         pick("top", score).alias("_top_s"), pick("top", tie).alias("_top_t"),
@@ -83,7 +84,7 @@ def rank_cut_by(df: DataFrame, score: str, tie: str, by: Sequence[str], top: flo
         hit = (F.col(score) > F.col(s)) | ((F.col(score) == F.col(s)) & (F.col(tie) <= F.col(t)))
         return F.coalesce(hit, F.lit(False))
 
-    joined = df.join(wide, list(by), "left")
+    joined = df.join(small_side(wide), list(by), "left")
     return (joined.withColumn(out, bucket_of(inside("_top_s", "_top_t"), inside("_mid_s", "_mid_t")))
             .drop("_top_s", "_top_t", "_mid_s", "_mid_t"))
 

@@ -260,7 +260,8 @@ def _linear(spark, sf):
 
 
 def _margin():
-    return F.aggregate("contributions", F.lit(0.0), lambda acc, d: acc + d["phi"])
+    """Sum of the contributions, taken cell by cell."""
+    return reduce(lambda a, b: a + b, [F.col("contributions")[i]["phi"] for i in range(len(NAMES))])
 
 
 _SCORE = " + ".join(f"phi_{c}" for c in NAMES)

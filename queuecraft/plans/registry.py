@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from queuecraft.session import tuned
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +19,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} exists")
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf: fn(tuned(spark), sf)
         if sql is not None:
             TWINS[name] = sql
         return fn

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from queuecraft.operators import briefs, chunking, embed, retrieval, similarity, triage
 from queuecraft.plans import views as V
 from queuecraft.plans.registry import query, rounded
+from queuecraft.sources.tables import spread
 
 # the documents hold no headings or blank lines: their lines serve as paragraphs, "\\n" + capital E as section mark
 LINE = "\n"
@@ -44,7 +45,8 @@ FROM pieces WHERE text <> '' OR at_para = 0"""
 
 @query("chunk_documents", _PACK)
 def chunk_documents(spark, sf):
-    return chunking.chunk(V.table(spark, sf, "documents"), "text", "doc_id", section_mark=MARK, heading=HEAD, paragraph_mark=LINE)
+    docs = spread(V.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return chunking.chunk(docs, "text", "doc_id", section_mark=MARK, heading=HEAD, paragraph_mark=LINE)
 
 
 N_QUERIES = 10

@@ -26,6 +26,19 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
+# Wide feature projections compile to methods the JVM never optimises (over 8000 bytes of bytecode).
+# With this limit Spark falls back to its split form for those stages only; all others stay fused.
+RUNTIME_OPTIONS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Set the runtime options above, unless the session already says otherwise."""
+    for name, value in RUNTIME_OPTIONS.items():
+        if spark.conf.get(name) == "65535":      # Spark's own default
+            spark.conf.set(name, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private one only where none is named (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
