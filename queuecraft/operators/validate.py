@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,29 +105,35 @@ def count_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(F.array(*map(line, rules)).alias("_r")).select(F.inline("_r"))
 
 
+def any_violation(rules: Sequence[Rule]) -> Column:
+    """One flat condition, so a filter on it can run beside the scan."""
+    return reduce(lambda a, b: a | b, [r.violated() for r in rules])
+
+
 def reasons(rules: Sequence[Rule]) -> Column:
     """Names of the broken rules of a row, empty when it is good."""
-    marks = F.array(*[F.when(r.violated(), F.lit(r.name)) for r in rules])
-    return F.array_compact(marks)
+    listed = F.concat_ws(",", *[F.when(r.violated(), F.lit(r.name)) for r in rules])
+    return F.array_remove(F.split(listed, ","), "")
 
 
 def failure_cases(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
-    """Every violation as (key, column, check, value): all failures, not the first."""
+    """Every violation as (key, column, check, value): all failures, not the first. Good rows go no further."""
     case = lambda r: F.when(r.violated(), F.struct(
         F.lit(r.column).alias("column_name"), F.lit(r.kind).alias("check_name"),
         F.col(r.column).cast("string").alias("failing_value")))
-    cases = F.array_compact(F.array(*map(case, rules)))
-    return df.select(key, F.inline(cases))
+    bad = df.filter(any_violation(rules))
+    return bad.select(key, F.inline(F.array(*map(case, rules)))).filter(F.col("check_name").isNotNull())
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Each row with ``accepted`` and the ``reasons`` against it."""
-    return df.withColumn("reasons", reasons(rules)).withColumn("accepted", F.size("reasons") == 0)
+    return df.withColumns({"reasons": reasons(rules), "accepted": ~any_violation(rules)})
 
 
 def split_good_bad(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    marked = quarantine(df, rules)
-    return (marked.filter("accepted").drop("accepted", "reasons"), marked.filter(~F.col("accepted")).drop("accepted"))
+    """The rows that keep all rules, and the others with their reasons."""
+    bad = any_violation(rules)
+    return df.filter(~bad), df.filter(bad).withColumn("reasons", reasons(rules))
 
 
 def record_rules(columns: Sequence[str]) -> list[Rule]:
