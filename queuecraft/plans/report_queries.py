@@ -46,11 +46,11 @@ def provider_outpatient(spark, sf):
     return rounded(provider.claim_aggregate(V.outpatient(spark, sf), "op"), 3, only={"total_amount_op": 2})
 
 
-@query("provider_patients", _WP + """
+@query("provider_bene", _WP + """
 SELECT provider, round(avg_condition_a, 6) AS avg_condition_a, round(avg_condition_b, 6) AS avg_condition_b, states,
        round(avg_annual_inpatient, 3) AS avg_annual_inpatient, round(avg_annual_outpatient, 3) AS avg_annual_outpatient,
        round(share_deceased, 6) AS share_deceased FROM people""")
-def provider_patients(spark, sf):
+def provider_bene(spark, sf):
     out = provider.patient_aggregate(V.inpatient(spark, sf), V.patients(spark, sf), V.CONDITIONS)
     return rounded(out, 6, only={"avg_annual_inpatient": 3, "avg_annual_outpatient": 3})
 

@@ -25,10 +25,10 @@ def chunk_sections(spark, sf):
     return chunking.split_sections(V.table(spark, sf, "documents"), "text", "doc_id", MARK, HEAD)
 
 
-_PACK = f"""
-WITH RECURSIVE secs AS (
-  SELECT doc_id, i AS sec, CASE WHEN i = 1 THEN s[i] ELSE concat('E', s[i]) END AS section
-  FROM (SELECT doc_id, string_split(text, chr(10) || 'E') AS s FROM documents), unnest(range(1, len(s) + 1)) t(i)), long AS (
+def _pack_sql(secs: str) -> str:
+    """Greedy packing of the lines of ``secs`` (doc_id, sec, section), step by step."""
+    return f"""
+WITH RECURSIVE secs AS ({secs}), long AS (
   SELECT doc_id, sec, string_split(section, chr(10)) AS paras FROM secs WHERE length(section) > 500), steps AS (
   SELECT doc_id, sec, paras, 0 AS at_para, ''::VARCHAR AS open, NULL::VARCHAR AS done FROM long
   UNION ALL
@@ -43,7 +43,16 @@ SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY sec, at_para) - 1
 FROM pieces WHERE text <> '' OR at_para = 0"""
 
 
-@query("chunk_documents", _PACK)
+@query("chunk_pack", _pack_sql("SELECT doc_id, 1 AS sec, text AS section FROM documents"))
+def chunk_pack(spark, sf):
+    """Whole documents as one section, their lines packed."""
+    docs = spread(V.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return docs.select("doc_id", F.posexplode(chunking.pack(F.col("text"), mark=LINE)).alias("chunk_id", "text"))
+
+
+@query("chunk_documents", _pack_sql("""
+  SELECT doc_id, i AS sec, CASE WHEN i = 1 THEN s[i] ELSE concat('E', s[i]) END AS section
+  FROM (SELECT doc_id, string_split(text, chr(10) || 'E') AS s FROM documents), unnest(range(1, len(s) + 1)) t(i)"""))
 def chunk_documents(spark, sf):
     docs = spread(V.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     return chunking.chunk(docs, "text", "doc_id", section_mark=MARK, heading=HEAD, paragraph_mark=LINE)
