@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +42,15 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only where none is named (tests)."""
+    """The cluster's shared checkpoint folder.
+
+    Only a session whose executors are threads of this process gets a private folder where none is named;
+    a cluster without the setting is an error, since its executors would each write to their own disk.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -63,3 +71,21 @@ def staged(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send this package to the workers once per session, so that Python functions load wherever a worker starts."""
+    context = spark.sparkContext
+    if getattr(context, "_queuecraft_shipped", False):
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="package-")
+    archive = os.path.join(folder, "queuecraft_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(at, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._queuecraft_shipped = True
+    return spark
