@@ -1,4 +1,4 @@
 """All queries of this subpackage, collected by importing the modules that define them."""
 
-from queuecraft.llm import sharding  # noqa: F401
+from queuecraft.llm import packing, pieces, sharding  # noqa: F401
 from queuecraft.llm.registry import QUERIES, TWINS  # noqa: F401
