@@ -126,7 +126,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, tolerance: int =
     whole = (ranked.where("rank < whole").withColumn("sequence_id", bin_of)
              .select(*keep, "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset")))
     rest = (ranked.where("rank >= whole").select(*keep)
-            .groupBy(F.lit(0)).applyInPandas(fill_rest(capacity), ", ".join(f"{c} long" for c in [*keep, "bin", "offset"]))
+            .groupBy().applyInPandas(fill_rest(capacity), ", ".join(f"{c} long" for c in [*keep, "bin", "offset"]))
             .select(*keep, (F.col("bin") + base).alias("sequence_id"), "offset"))
     return whole.union(rest)
 
