@@ -79,3 +79,36 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).union(
                 edges.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct())
         state = now
+
+
+def whole_groups(batches, keys: list[str]):
+    """Arrow batches sorted by ``keys`` as pandas frames that each hold whole groups: a batch's last group waits for the
+    next batch. Memory is one batch and one group."""
+    import pandas as pd
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        frame = pa.Table.from_batches([batch]).to_pandas() if held is None else pd.concat(
+            [held, pa.Table.from_batches([batch]).to_pandas()], ignore_index=True)
+        if frame.empty:
+            continue
+        last = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
+        cut = len(frame) - int(last[::-1].argmin()) if not last.all() else 0
+        held = frame.iloc[cut:]
+        if cut:
+            yield frame.iloc[:cut].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held.reset_index(drop=True)
+
+
+def starts_of(*columns):
+    """Positions at which any of the sorted columns changes, with the end: group i is [out[i], out[i + 1])."""
+    import numpy as np
+
+    n = len(columns[0])
+    new = np.zeros(n, dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), n)
