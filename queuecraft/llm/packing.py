@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,7 +18,7 @@ from queuecraft.llm.registry import query
 CAPACITY = 4096
 END_ID = 2
 TOLERANCE = 64          # a piece may leave 1/64 of its slot empty before it is cut
-CACHED_WORDS = 300_000  # a worker's word table is emptied beyond this; it only saves repeated work
+CACHED_WORDS = 800_000  # a worker's word table is emptied beyond this; it only saves repeated work
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -42,39 +43,72 @@ def cuts(length: int, capacity: int = CAPACITY, tolerance: int = TOLERANCE) -> l
     return out
 
 
+class WordIds:
+    """Ids of white-space-separated words as little-endian bytes, each distinct word tokenised once.
+
+    The tokeniser drops white space between words and never looks across it. It also never joins letters with the
+    marks behind them, so ``word,`` is put together from ``word`` and the comma.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> None:
+        known = self.known
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        new = {w for w in words if w not in known}
+        ended = [w for w in new if w[-1:] in (",", ".") and w[:-1].isalpha() and w.islower()]
+        bare = new.difference(ended)
+        bare.update(x for x in [",", ".", *[w[:-1] for w in ended]] if x not in known)
+        bare = list(bare)
+        for word, code in zip(bare, self.tokenizer.encode_batch_fast(bare, add_special_tokens=False)):
+            known[word] = array("I", code.ids).tobytes()
+        for word in ended:
+            known[word] = known[word[:-1]] + known[word[-1]]
+
+
+_TABLES: dict[str, WordIds] = {}      # a worker keeps its table from task to task
+
+
+def words_of(text: str | None) -> list[str]:
+    text = text or ""
+    try:
+        text.encode("latin-1")
+        text = text.lower()           # the tokeniser lowers too; within Latin-1 in the same way
+    except UnicodeEncodeError:
+        pass
+    return text.replace("\n", " ").replace("\t", " ").split(" ")
+
+
 def token_pieces(path: str, capacity: int, tolerance: int):
-    """Arrow function: documents to pieces. Texts are split at white space, which the tokeniser drops between words
-    and never looks across, so each distinct word is tokenised once and documents are put together from words."""
+    """Arrow function: documents to pieces, documents being put together from their words' ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        known: dict[str, bytes] = {}
+        if path not in _TABLES:
+            _TABLES[path] = WordIds(path)
+        ids_of = _TABLES[path]
         table: dict[int, list[tuple[int, int]]] = {}
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-                if len(known) > CACHED_WORDS:
-                    known.clear()
-                new = [w for w in set().union(*words) if w not in known]
-                for word, code in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                    known[word] = b"".join(i.to_bytes(4, "little") for i in code.ids)
+                ids, words = part.column(0).to_pylist(), [words_of(t) for t in part.column(1).to_pylist()]
+                ids_of.learn(set().union(*words))
                 rows = []
                 for doc_id, own in zip(ids, words):
-                    data = memoryview(b"".join(map(known.__getitem__, own)) + end)
+                    data = memoryview(b"".join(map(ids_of.known.__getitem__, own)) + end)
                     n, start = len(data) // 4, 0
                     if n not in table:
                         table[n] = cuts(n, capacity, tolerance)
                     for length, k in table[n]:
                         rows.append((doc_id, start, length, zlib.crc32(data[4 * start:4 * (start + length)]), n, k))
                         start += length
-                columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns],
+                    [pa.array(c, pa.int64()) for c in zip(*rows)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k"])
     return run
 
