@@ -1,4 +1,4 @@
 """All queries of this subpackage, collected by importing the modules that define them."""
 
-from queuecraft.llm import jaccard, packing, pieces, quality, repeats, secrets, sharding, toxicity  # noqa: F401
+from queuecraft.llm import jaccard, packing, pieces, pii, quality, repeats, secrets, sharding, toxicity  # noqa: F401
 from queuecraft.llm.registry import QUERIES, TWINS  # noqa: F401
