@@ -19,6 +19,7 @@ CAPACITY = 4096
 END_ID = 2
 TOLERANCE = 64          # a piece may leave 1/64 of its slot empty before it is cut
 CACHED_WORDS = 800_000  # a worker's word table is emptied beyond this; it only saves repeated work
+MARKS = ".,*$%&#!?;:"    # marks that end words; none begins or ends a special token or a contraction
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -43,32 +44,37 @@ def cuts(length: int, capacity: int = CAPACITY, tolerance: int = TOLERANCE) -> l
     return out
 
 
-class WordIds:
-    """Ids of white-space-separated words as little-endian bytes, each distinct word tokenised once.
+class WordIds(dict):
+    """Ids of white-space-separated words as little-endian bytes, each distinct word tokenised when first asked for.
 
-    The tokeniser drops white space between words and never looks across it. It also never joins letters with the
-    marks behind them, so ``word,`` is put together from ``word`` and the comma.
+    The tokeniser drops white space between words and never looks across it. It also never joins a letter or digit
+    with the marks behind it, so ``word,`` is put together from ``word`` and the comma. A word of lower-case Latin-1 letters
+    is one piece to the tokeniser's splitter and unchanged by its normaliser, so it goes to the merges at once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        new = {w for w in words if w not in known}
-        ended = [w for w in new if w[-1:] in (",", ".") and w[:-1].isalpha() and w.islower()]
-        bare = new.difference(ended)
-        bare.update(x for x in [",", ".", *[w[:-1] for w in ended]] if x not in known)
-        bare = list(bare)
-        for word, code in zip(bare, self.tokenizer.encode_batch_fast(bare, add_special_tokens=False)):
-            known[word] = array("I", code.ids).tobytes()
-        for word in ended:
-            known[word] = known[word[:-1]] + known[word[-1]]
+        self.merges = self.tokenizer.model
+        letters = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).islower()]
+        self.letters = frozenset(letters)
+        self.ends = self.letters.union("0123456789")
+        self.as_bytes = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        bare = word.rstrip(MARKS)
+        if bare != word and bare and bare[-1] in self.ends:
+            ids = self[bare] + self[word[len(bare):]]
+        elif word and self.letters.issuperset(word):
+            ids = array("I", [t.id for t in self.merges.tokenize(word.translate(self.as_bytes))]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
 
 
 _TABLES: dict[str, WordIds] = {}      # a worker keeps its table from task to task
@@ -97,10 +103,9 @@ def token_pieces(path: str, capacity: int, tolerance: int):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids, words = part.column(0).to_pylist(), [words_of(t) for t in part.column(1).to_pylist()]
-                ids_of.learn(set().union(*words))
                 rows = []
                 for doc_id, own in zip(ids, words):
-                    data = memoryview(b"".join(map(ids_of.known.__getitem__, own)) + end)
+                    data = memoryview(b"".join(map(ids_of.__getitem__, own)) + end)
                     n, start = len(data) // 4, 0
                     if n not in table:
                         table[n] = cuts(n, capacity, tolerance)
