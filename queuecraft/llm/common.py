@@ -112,3 +112,9 @@ def starts_of(*columns):
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
     return np.append(np.flatnonzero(new), n)
+
+
+def with_text(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(row: struct of a document's columns, text) as documents again, with the new text and its length in n_chars."""
+    own = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text"), F.lit(0)).cast("long")}
+    return rows.select(*[own.get(c, F.col("row").getField(c)).alias(c) for c in columns])

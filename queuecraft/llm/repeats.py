@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuecraft.llm.common import documents, starts_of, whole_groups, written
+from queuecraft.llm.common import documents, starts_of, whole_groups, with_text, written
 from queuecraft.llm.registry import query
 from queuecraft.llm.shingles import mix
 
@@ -374,6 +374,43 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             .mapInArrow(cut_out, f"doc_id {kind}, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"))
 
 
+def whole_characters(batches):
+    """(row, text, spans) to (row, text without the spans); a character goes only if all of its bytes do."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            out = []
+            for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                data, kept, last = (text or "").encode("utf-8", "surrogatepass"), [], 0
+                whole: list[list[int]] = []
+                for begin, end in sorted((s["begin"], min(s["end"], len(data))) for s in spans or []):
+                    if whole and begin <= whole[-1][1]:
+                        whole[-1][1] = max(whole[-1][1], end)
+                    else:
+                        whole.append([begin, end])
+                for begin, end in whole:
+                    while begin < end and data[begin] & 0xC0 == 0x80:
+                        begin += 1
+                    while end > begin and end < len(data) and data[end] & 0xC0 == 0x80:
+                        end -= 1
+                    kept.append(data[last:begin])
+                    last = end
+                kept.append(data[last:])
+                out.append(text if text is None else b"".join(kept).decode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], names=["row", "text"])
+
+
+def without_repeated_text(docs: DataFrame) -> DataFrame:
+    """``docs`` with each text, and its n_chars, as ``without_repeats`` leaves it, in whole characters."""
+    spans = removed_spans(docs.select("doc_id", "text")).groupBy("doc_id").agg(
+        F.collect_set(F.struct("begin", "end")).alias("spans"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text",
+                       F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long").alias("_id"))
+    joined = rows.join(spans.withColumnRenamed("doc_id", "_id"), "_id", "left").select("row", "text", "spans")
+    kind = joined.schema["row"].dataType.simpleString()
+    return with_text(joined.mapInArrow(whole_characters, f"row {kind}, text string"), docs.columns)
+
+
 @query("op9_common_prefix_intervals")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     out = without_repeats(documents(spark, sf))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuecraft.llm.common import documents
+from queuecraft.llm.common import documents, with_text
 from queuecraft.llm.registry import query
 from queuecraft.llm.spans import ARROW, SPANS, digest_columns, in_order
 
@@ -289,8 +289,12 @@ def fit(docs: DataFrame) -> Field | None:
 
 def finder(model: tuple | None):
     """Arrow function: (doc_id, text) to (doc_id, spans)."""
+    kept: list[Field] = []          # made once in each worker
+
     def run(batches):
-        field = Field(*model) if model else None
+        if model and not kept:
+            kept.append(Field(*model))
+        field = kept[0] if kept else None
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -314,6 +318,12 @@ def finder(model: tuple | None):
     return run
 
 
+def learned(docs: DataFrame) -> tuple | None:
+    """The field's parameters for the workers, None without any secret to learn from."""
+    field = fit(docs)
+    return (sorted(field.cues), field.weights, field.turns.tolist()) if field else None
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) of every row: what the base patterns find, and what the field adds, in code points.
 
@@ -321,12 +331,48 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     secret leaves the base patterns alone. Null texts count as empty and have no spans; repeated rows are searched alike;
     an empty table gives an empty result; other columns are not looked at.
     """
-    field = fit(docs)
-    model = (sorted(field.cues), field.weights, field.turns.tolist()) if field else None
+    model = learned(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(finder(model), f"doc_id {kind}, {SPANS}")
 
 
+MASK = "[SECRET]"
+
+
+def masked(text: str | None, spans: list[dict]) -> str | None:
+    """The text with every stretch that spans cover replaced by MASK."""
+    if not text or not spans:
+        return text
+    out, last = [], 0
+    whole: list[list[int]] = []
+    for span in sorted(spans, key=lambda s: (s["begin"], s["end"])):
+        if whole and span["begin"] < whole[-1][1]:
+            whole[-1][1] = max(whole[-1][1], span["end"])
+        else:
+            whole.append([span["begin"], span["end"]])
+    for begin, end in whole:
+        out += [text[last:begin], MASK]
+        last = end
+    return "".join([*out, text[last:]])
+
+
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """``docs`` with every secret in its texts masked, and n_chars of the masked text."""
+    find = finder(learned(docs))
+
+    def run(batches):
+        for batch in batches:
+            for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
+                texts = part.column(1)
+                found = next(find(iter([pa.RecordBatch.from_arrays([texts, texts], names=["doc_id", "text"])])))
+                out = [masked(t, s) for t, s in zip(texts.to_pylist(), found.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], names=["row", "text"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    kind = rows.schema["row"].dataType.simpleString()
+    return with_text(rows.mapInArrow(run, f"row {kind}, text string"), docs.columns)
+
+
 @query("op5_secret_field")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return find_secrets(documents(spark, sf)).select("doc_id", *digest_columns(KINDS))

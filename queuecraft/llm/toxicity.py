@@ -273,6 +273,22 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         scorer(terms, weights), f"doc_id {_kind(docs)}, value double").withColumnRenamed("value", "score")
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns as they are."""
+    terms, weights = fit(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, known = Lexicon(terms), {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                words = [split(t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+                word_table(lexicon, set().union(*words), known)
+                found = np.array([features(w, known) for w in words])
+                yield part.filter(pa.array(1 / (1 + np.exp(-found @ np.array(weights))) < threshold))
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op2_lexicon_automata")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf}/labels.parquet")
