@@ -57,7 +57,7 @@ def explain_top(df: DataFrame, key: str, score: str, label: str, share: float =
     The cut row is looked up first, so only the top rows are written, ranked and unfolded.
     """
     cut = triage.cut_points(df, score, key, {"k": triage.at_least_one(share)}).get("k")
-    top = staged(df.filter(triage.within(cut, score, key)).select(key, score, label, contributions))
+    top = staged(df.filter(triage.within(df, cut, score, key)).select(key, score, label, contributions))
     ranked = ordering.with_rank(top, score, key).drop("n_rows")
     driven = ranked.withColumn("_d", top_drivers(F.col(contributions), k))
     rows = driven.select("rank", key, score, label, F.posexplode("_d").alias("place", "_one"))

@@ -19,6 +19,7 @@ def score_table(df: DataFrame, score: str, label: str, *, by: Sequence[str] = ()
                 parts: int | None = None, buckets: ordering.Buckets | None = None) -> DataFrame:
     """Per distinct score, from high to low: own and running counts of rows and positives."""
     one = F.col(weight) if weight else F.lit(1)
+    df = df.withColumn(score, ordering.known(df, score))       # unknown scores are one last threshold
     counted = df.groupBy(*by, score).agg(F.sum(one).alias("n"), F.sum(one * F.col(label)).alias("p"))
     if weight:
         counted = counted.filter(F.col("n") > 0)
@@ -71,7 +72,7 @@ def precision_recall_sweep(df: DataFrame, score: str, tie: str, label: str,
                            percents: Sequence[float] = (1, 2, 5, 10, 20)) -> DataFrame:
     """Precision and recall in the top k rows for several shares, one pass after the cuts are known."""
     cuts = triage.cut_points(df, score, tie, {str(p): triage.at_least_one(p / 100.0) for p in percents})
-    hits = [F.coalesce(F.sum(F.when(triage.within(cuts.get(str(p)), score, tie), F.col(label))), F.lit(0))
+    hits = [F.coalesce(F.sum(F.when(triage.within(df, cuts.get(str(p)), score, tie), F.col(label))), F.lit(0))
             for p in percents]
     k_of = lambda p: cuts[str(p)].rank if str(p) in cuts else 0
     one = df.agg(F.sum(label).alias("positives"), F.array(*[
@@ -104,18 +105,18 @@ def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     return points.unionByName(end)
 
 
-def smooth_curve(points: DataFrame, order_by: str, columns: Sequence[str], window: int, parts: int = 200) -> DataFrame:
-    """Centred moving mean with partial windows at both ends.
+def smooth_curve(points: DataFrame, order_by: str, columns: Sequence[str], window: int) -> DataFrame:
+    """Centred moving mean over every point, with partial windows at both ends.
 
-    The curve is cut to at most ``parts`` display points first (one mean point per stretch of equal
-    row count), so the frame below runs over a bounded table however long the curve is.
+    Each point is sent to the positions whose window it falls in, so means are sums per position: no ordered frame
+    over the whole curve, and ``window`` rows a point. Points come out numbered from 0.
     """
     placed = ordering.running_sums(points, order_by, {"at": F.lit(1)}, descending=False)
-    stretch = F.floor((F.col("cum_at") - 1) * F.lit(parts) / F.greatest(F.col("tot_at"), F.lit(parts)))
-    thin = placed.groupBy(stretch.alias("point")).agg(*[F.avg(c).alias(c) for c in columns])
     back, ahead = window // 2, window - window // 2 - 1
-    frame = Window.orderBy("point").rowsBetween(-back, ahead)
-    return thin.select("point", *[F.avg(c).over(frame).alias(f"{c}_smooth") for c in columns])
+    spread = placed.select(F.explode(F.sequence(F.col("cum_at") - 1 - ahead, F.col("cum_at") - 1 + back)).alias("point"),
+                           "tot_at", *columns)
+    inside = spread.filter((F.col("point") >= 0) & (F.col("point") < F.col("tot_at")))
+    return inside.groupBy("point").agg(*[F.avg(c).alias(f"{c}_smooth") for c in columns])
 
 
 def calibration_curve(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
@@ -126,14 +127,15 @@ def calibration_curve(df: DataFrame, score: str, label: str, bins: int = 10) ->
 
 
 def evaluate(df: DataFrame, score: str, tie: str, label: str, share: float = triage.TOP_SHARE) -> DataFrame:
-    """One row: both areas, precision and recall in the top share, score at its percentile."""
-    cut = triage.cut_points(df, score, tie, {"k": triage.at_least_one(share)})["k"]
-    level = ordering.quantiles(df.select(score), score, {"q": 1 - share}).first()["q"]
-    inside = F.sum(F.when(triage.within(cut, score, tie), F.col(label)))
+    """One row: both areas, precision and recall in the top share, score at its percentile; nulls for an empty table."""
+    cut = triage.cut_points(df, score, tie, {"k": triage.at_least_one(share)}).get("k")
+    found = ordering.quantiles(df.select(score), score, {"q": 1 - share}).first()
+    k = F.lit(cut.rank if cut else None).cast("long")
+    inside = F.sum(F.when(triage.within(df, cut, score, tie), F.col(label)))
     top = df.agg(inside.alias("_hits"), F.sum(label).alias("_all")).select(
-        (F.coalesce("_hits", F.lit(0)) / F.lit(cut.rank)).alias("precision_top"),
-        (F.coalesce("_hits", F.lit(0)) / F.greatest(F.col("_all"), F.lit(1))).alias("recall_top"),
-        F.lit(level).alias("operating_threshold"), F.lit(1).alias("_one"))
+        (F.coalesce("_hits", F.lit(0)) / k).alias("precision_top"),
+        F.when(k.isNotNull(), F.coalesce("_hits", F.lit(0)) / F.greatest(F.col("_all"), F.lit(1))).alias("recall_top"),
+        F.lit(found["q"] if found else None).cast("double").alias("operating_threshold"), F.lit(1).alias("_one"))
     both = areas(df, score, label).select("average_precision", "roc_auc", F.lit(1).alias("_one"))
     return both.join(top, "_one").drop("_one")   # one row each
 

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import briefs, embed, similarity
-from queuecraft.operators.sizing import small_side
-from queuecraft.session import staged
+from queuecraft.session import staged, written
 
 
 def nearest_passages(queries: DataFrame, passages: DataFrame, model: PipelineModel, k: int = similarity.TOP_K) -> DataFrame:
@@ -22,7 +21,7 @@ def nearest_passages(queries: DataFrame, passages: DataFrame, model: PipelineMod
     texts = staged(texts)
     left = embed.embed(model, texts.select("query_id", F.col("query_text").alias("text"))).select("query_id", "vector")
     right = embed.embed(model, passages).select("passage_id", "vector")
-    near = small_side(similarity.knn(left, right, k))
+    near = written(similarity.knn(left, right, k))
     named = near.join(passages.select("passage_id", "source", "text"), "passage_id")
     packed = named.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "source", "text", "distance"))).alias("passages"))
     return texts.join(packed, "query_id").select("query_text", "passages")

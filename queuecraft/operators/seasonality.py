@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import metrics, ordering, triage
-from queuecraft.operators.sizing import small_side
+from queuecraft.session import written
 
 # Fewest positives for a ranking metric, smallest group read, smallest group reported.
 MIN_POSITIVES = 5
@@ -24,11 +24,11 @@ def group_quality(df: DataFrame, by: str, score: str, tie: str, label: str) -> D
     up = ordering.plan_scores(rows, score, tie)     # one set of boundaries for all three
     areas = metrics.areas(rows, score, label, by=[by], buckets=up.mirrored())
     cut = ordering.rows_at_ranks(rows, score, tie, {"k": triage.at_least_one(triage.TOP_SHARE)}, by=[by], buckets=up.mirrored())
-    cut = cut.select(by, F.col(score).alias("_cut_s"), F.col(tie).alias("_cut_t"), F.col("rank").alias("_k"))
+    cut = cut.select(by, ordering.known(cut, score).alias("_cut_s"), F.col(tie).alias("_cut_t"), F.col("rank").alias("_k"))
     level = ordering.quantiles(rows, score, {"_q": 1 - triage.TOP_SHARE}, by=[by], buckets=up).select(by, "_q")
-    marks = small_side(cut.join(level, by))     # one row per group
-    in_k = (F.col(score) > F.col("_cut_s")) | ((F.col(score) == F.col("_cut_s")) & (F.col(tie) <= F.col("_cut_t")))
-    top = F.col(score) >= F.col("_q")
+    marks = written(cut.join(level, by, "left"))     # one row per group
+    in_k = triage.not_after(rows, score, tie, F.col("_cut_s"), F.col("_cut_t"), F.col("_cut_s").isNotNull())
+    top = ~ordering.missing(rows, score) & (F.col(score) >= F.col("_q"))
     sums = rows.join(marks, by).groupBy(by).agg(
         F.avg(score).alias("avg_score"), F.avg(label).alias("positive_rate"),
         (F.sum(F.when(in_k, F.col(label)).otherwise(0)) / F.max("_k")).alias("_precision"),

@@ -1,4 +1,8 @@
-"""Queues from scores: rank cuts, percentile cuts, persisted thresholds, summaries, cost-benefit."""
+"""Queues from scores: rank cuts, percentile cuts, persisted thresholds, summaries, cost-benefit.
+
+A score that is null or not a number is unknown: it ranks behind every known one, by its id, counts as a row of the
+table, and reaches no threshold.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import ordering
-from queuecraft.operators.sizing import small_side
+from queuecraft.session import written
 
 # Queue names, queue shares, cost assumptions.
 TOP = "SIU"
@@ -33,26 +37,42 @@ def at_least_one(share: float):
 
 @dataclass(frozen=True)
 class CutPoint:
-    """The last row inside a cut, in (score descending, id ascending) order."""
+    """The last row inside a cut, in the order of ``ordering.in_order``; its score is None where it is unknown."""
 
-    score: float
+    score: float | None
     tie: object
     rank: int
     n_rows: int
 
 
-def cut_points(df: DataFrame, score: str, tie: str, ranks) -> dict[str, CutPoint]:
+def cut_points(df: DataFrame, score: str, tie: str, ranks, descending: bool = True) -> dict[str, CutPoint]:
     """Find the rows at a few global positions; only those few rows reach the driver."""
-    rows = ordering.rows_at_ranks(df.select(score, tie), score, tie, ranks)
-    return {r["cut"]: CutPoint(r[score], r[tie], r["rank"], r["n_rows"]) for r in rows.collect()}
+    rows = ordering.rows_at_ranks(df.select(score, tie), score, tie, ranks, descending=descending)
+    rows = rows.withColumn("_known", ordering.known(df, score))
+    return {r["cut"]: CutPoint(r["_known"], r[tie], r["rank"], r["n_rows"]) for r in rows.collect()}
+
+
+def not_after(df: DataFrame, score: str, tie: str, cut_score: Column, cut_tie: Column, cut_known: Column,
+              descending: bool = True) -> Column:
+    """Row-local test for 'stands at or before the cut row', whose score may be unknown."""
+    value, known = F.col(score), ~ordering.missing(df, score)
+    ahead = value > cut_score if descending else value < cut_score
+    inside = F.when(cut_known, known & (ahead | ((value == cut_score) & (F.col(tie) <= cut_tie)))).otherwise(
+        known | (F.col(tie) <= cut_tie))
+    return F.coalesce(inside, F.lit(False))
 
 
-def within(cut: CutPoint | None, score: str, tie: str) -> Column:
+def within(df: DataFrame, cut: CutPoint | None, score: str, tie: str, descending: bool = True) -> Column:
     """Row-local test for 'stands at or before the cut'. A cut nobody reached holds no row."""
     if cut is None:
         return F.lit(False)
-    same = (F.col(score) == F.lit(cut.score)) & (F.col(tie) <= F.lit(cut.tie))
-    return F.coalesce((F.col(score) > F.lit(cut.score)) | same, F.lit(False))
+    at = F.lit(cut.score).cast(df.schema[score].dataType)
+    return not_after(df, score, tie, at, F.lit(cut.tie), F.lit(cut.score is not None), descending)
+
+
+def reaches(score: str, threshold) -> Column:
+    """Whether a score is known and at or above the threshold."""
+    return F.coalesce((F.col(score) >= F.lit(threshold)) & ~F.isnan(F.col(score).cast("double")), F.lit(False))
 
 
 def bucket_of(in_top: Column, in_middle: Column) -> Column:
@@ -67,7 +87,7 @@ def rank_cut(df: DataFrame, score: str, tie: str, top: float = TOP_SHARE, middle
     table is neither sorted nor shuffled.
     """
     cuts = cut_points(df, score, tie, {"top": share_count(top), "mid": share_count(top + middle)})
-    return df.withColumn(out, bucket_of(within(cuts.get("top"), score, tie), within(cuts.get("mid"), score, tie)))
+    return df.withColumn(out, bucket_of(within(df, cuts.get("top"), score, tie), within(df, cuts.get("mid"), score, tie)))
 
 
 def rank_cut_by(df: DataFrame, score: str, tie: str, by: Sequence[str], top: float = TOP_SHARE,
@@ -75,18 +95,19 @@ def rank_cut_by(df: DataFrame, score: str, tie: str, by: Sequence[str], top: flo
     """Rank cut inside every group; the groups' cut rows are joined back (two numbers a group)."""
     cuts = ordering.rows_at_ranks(df.select(*by, score, tie), score, tie,
                                   {"top": share_count(top), "mid": share_count(top + middle)}, by=by, buckets=buckets)
-    pick = lambda name, c: F.max(F.when(F.col("cut") == name, F.col(c)))
-    wide = cuts.groupBy(*by).agg(
-        pick("top", score).alias("_top_s"), pick("top", tie).alias("_top_t"),
-        pick("mid", score).alias("_mid_s"), pick("mid", tie).alias("_mid_t"))
+    pick = lambda name, c: F.max_by(F.col(c), F.col("cut") == name)
+    has = lambda name: F.max(F.col("cut") == name)
+    cuts = cuts.withColumn("_s", ordering.known(cuts, score))
+    wide = cuts.withColumn("_by", F.struct(*by)).groupBy("_by").agg(*[
+        F.when(has(name), F.struct(pick(name, "_s").alias("s"), pick(name, tie).alias("t"))).alias(f"_{name}")
+        for name in ("top", "mid")])
 
-    def inside(s: str, t: str) -> Column:
-        hit = (F.col(score) > F.col(s)) | ((F.col(score) == F.col(s)) & (F.col(tie) <= F.col(t)))
-        return F.coalesce(hit, F.lit(False))
+    def inside(name: str) -> Column:
+        hit = not_after(df, score, tie, F.col(f"{name}.s"), F.col(f"{name}.t"), F.col(f"{name}.s").isNotNull())
+        return F.col(name).isNotNull() & hit
 
-    joined = df.join(small_side(wide), list(by), "left")
-    return (joined.withColumn(out, bucket_of(inside("_top_s", "_top_t"), inside("_mid_s", "_mid_t")))
-            .drop("_top_s", "_top_t", "_mid_s", "_mid_t"))
+    joined = df.withColumn("_by", F.struct(*by)).join(written(wide), "_by", "left")
+    return joined.withColumn(out, bucket_of(inside("_top"), inside("_mid"))).drop("_by", "_top", "_mid")
 
 
 def percentile_cut(df: DataFrame, score: str, top: float = TOP_SHARE, middle: float = MIDDLE_SHARE,
@@ -95,8 +116,7 @@ def percentile_cut(df: DataFrame, score: str, top: float = TOP_SHARE, middle: fl
     found = ordering.quantiles(df.select(score), score, {"top": 1 - top, "mid": 1 - top - middle}).first()
     if found is None or found["top"] is None:
         return df.withColumn(out, F.lit(REST))
-    s = F.col(score)
-    return df.withColumn(out, bucket_of(s >= F.lit(found["top"]), s >= F.lit(found["mid"])))
+    return df.withColumn(out, bucket_of(reaches(score, found["top"]), reaches(score, found["mid"])))
 
 
 def thresholds(df: DataFrame, score: str, tie: str, top: float = TOP_SHARE, middle: float = MIDDLE_SHARE) -> DataFrame:
@@ -109,8 +129,7 @@ def thresholds(df: DataFrame, score: str, tie: str, top: float = TOP_SHARE, midd
 
 def threshold_cut(df: DataFrame, score: str, top: float, middle: float, out: str = "bucket") -> DataFrame:
     """Assign by persisted thresholds; row-local, so it also serves a stream."""
-    s = F.col(score)
-    return df.withColumn(out, bucket_of(s >= F.lit(float(top)), s >= F.lit(float(middle))))
+    return df.withColumn(out, bucket_of(reaches(score, float(top)), reaches(score, float(middle))))
 
 
 def queue_filter(df: DataFrame, score: str, queues: Sequence[str], low: float, high: float) -> DataFrame:
@@ -161,22 +180,22 @@ def mean_ranks(df: DataFrame, score: str, by: Sequence[str] = (), descending: bo
     Positions are worked out once per distinct score and joined back. A score that a large share of
     the rows holds makes one long join key, which adaptive execution splits over several tasks.
     """
-    counted = df.groupBy(*by, score).agg(F.count("*").alias("_ties"))
-    placed = ordering.running_sums(counted, score, {"ties": F.col("_ties")}, by=by, descending=descending)
-    table = placed.select(*by, score, F.col("tot_ties").alias("n_rows"),
+    keyed = df.withColumn("_value", ordering.known(df, score)).withColumn("_at", F.struct(*by, "_value"))
+    counted = keyed.groupBy(*by, "_value").agg(F.count("*").alias("_ties"))
+    placed = ordering.running_sums(counted, "_value", {"ties": F.col("_ties")}, by=by, descending=descending)
+    table = placed.select(F.struct(*by, "_value").alias("_at"), F.col("tot_ties").alias("n_rows"),
                           (F.col("cum_ties") - (F.col("_ties") - 1) / 2).alias("mean_rank"))
-    return df.join(table, [*by, score])
+    return keyed.join(table, "_at").drop("_at", "_value")
 
 
 def review_queue(df: DataFrame, score: str, tie: str) -> DataFrame:
     """Whole table in review order: a range-partitioned sort."""
-    return df.orderBy(F.col(score).desc(), F.col(tie))
+    return df.orderBy(*ordering.in_order(df, score, tie))
 
 
 def top_rows(df: DataFrame, score: str, tie: str, k: int) -> DataFrame:
     """The k best rows of a report, with their place. For shares of a table use ``rank_cut``."""
-    best = df.orderBy(F.col(score).desc(), F.col(tie)).limit(k)
-    return best
+    return df.orderBy(*ordering.in_order(df, score, tie)).limit(k)
 
 
 def row_at_rank(df: DataFrame, score: str, tie: str, rank: int) -> DataFrame:
@@ -196,12 +215,10 @@ def batches_in_order(df: DataFrame, order_by: str, tie: str, n_batches: int, out
     """
     size = lambda n: F.floor(n / F.lit(n_batches))
     ranks = {str(i): (lambda n, i=i: size(n) * i) for i in range(1, n_batches)}
-    rows = ordering.rows_at_ranks(df.select(order_by, tie), order_by, tie, ranks, descending=False)
-    ends = sorted(((int(r["cut"]), r[order_by], r[tie]) for r in rows.collect()))
-    if not ends:   # fewer rows than batches: all of them are the remainder
+    cuts = cut_points(df, order_by, tie, ranks, descending=False)
+    if not cuts:   # fewer rows than batches: all of them are the remainder
         return df.withColumn(out, F.lit(n_batches))
     number = F.when(F.lit(False), 0)
-    for i, value, tie_value in ends:
-        upto = (F.col(order_by) < F.lit(value)) | ((F.col(order_by) == F.lit(value)) & (F.col(tie) <= F.lit(tie_value)))
-        number = number.when(upto, i)
+    for i in sorted(map(int, cuts)):
+        number = number.when(within(df, cuts[str(i)], order_by, tie, descending=False), i)
     return df.withColumn(out, number.otherwise(n_batches).cast("int"))

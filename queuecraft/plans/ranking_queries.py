@@ -185,12 +185,12 @@ def pr_curve(spark, sf):
 
 
 @query("smooth_pr_curve", _WITH_TABLE + """, curve AS (
-  SELECT score, cum_p / cum_n AS precision, cum_p / tot_p AS recall, row_number() OVER (ORDER BY score) AS place, count(*) OVER () AS tot FROM score_table), thin AS (
-  SELECT floor((place - 1) * 200 / greatest(tot, 200))::BIGINT AS point, avg(precision) AS precision, avg(recall) AS recall FROM curve GROUP BY 1)
+  SELECT score, cum_p / cum_n AS precision, cum_p / tot_p AS recall FROM score_table UNION ALL SELECT NULL, 1.0, 0.0), placed AS (
+  SELECT *, row_number() OVER (ORDER BY score NULLS LAST) - 1 AS point FROM curve)
 SELECT point, round(avg(precision) OVER w, 6) AS precision_smooth, round(avg(recall) OVER w, 6) AS recall_smooth
-FROM thin WINDOW w AS (ORDER BY point ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING)""")
+FROM placed WINDOW w AS (ORDER BY point ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING)""")
 def smooth_pr_curve(spark, sf):
-    points = metrics.pr_curve(V.imbalanced(spark, sf), "score", "label").filter(F.col("threshold").isNotNull())
+    points = metrics.pr_curve(V.imbalanced(spark, sf), "score", "label")
     return rounded(metrics.smooth_curve(points, "threshold", ["precision", "recall"], 20))
 
 
@@ -386,3 +386,67 @@ def bootstrap_ci(spark, sf):
 SELECT id, rep AS repeat, score AS score_permuted FROM t JOIN s USING (rep, r)""")
 def permute_column(spark, sf):
     return resample.permute_column(V.scored(spark, sf), "id", "score", repeats=2).select("id", "repeat", "score_permuted")
+
+
+# --- missing scores, labels and order keys -----------------------------------------------------
+# Every seventh score is null and every eleventh is not a number; every fifth label and every ninth month is null.
+
+def _gaps(spark, sf):
+    s = V.scored(spark, sf)
+    lost = lambda n: F.col("id") % n == 0
+    return s.select(
+        "id", F.when(lost(7), F.lit(None)).when(lost(11), F.lit(float("nan"))).otherwise(F.col("score")).alias("score"),
+        F.when(~lost(5), F.col("label")).alias("label"), F.when(~lost(9), F.col("month_num")).alias("month_num"),
+        F.concat(F.lit("C"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("code"),
+        (F.col("id") + F.lit(2 ** 60)).alias("big"))
+
+
+_GAPS = V.SCORED + """, gaps AS (
+  SELECT id, CASE WHEN id % 7 = 0 THEN NULL WHEN id % 11 = 0 THEN 'NaN'::DOUBLE ELSE score END AS score,
+         CASE WHEN id % 5 <> 0 THEN label END AS label, CASE WHEN id % 9 <> 0 THEN month_num END AS month_num,
+         'C' || lpad(id::VARCHAR, 9, '0') AS code, id + 1152921504606846976 AS big,
+         (id % 7 <> 0 AND id % 11 <> 0) AS known, CASE WHEN id % 7 <> 0 AND id % 11 <> 0 THEN score END AS s FROM scored),
+gap_ranked AS (
+  SELECT *, row_number() OVER (ORDER BY s DESC NULLS LAST, id) AS rank, count(*) OVER () AS n FROM gaps)"""
+
+
+@query("rank_cut_missing", "WITH " + _GAPS + """
+SELECT id, code, CASE WHEN rank <= floor(0.05::DOUBLE * n) THEN 'SIU' WHEN rank <= floor((0.05::DOUBLE + 0.15::DOUBLE) * n)
+       THEN 'Manual Review' ELSE 'Approve' END AS bucket FROM gap_ranked""")
+def rank_cut_missing(spark, sf):
+    return triage.rank_cut(_gaps(spark, sf), "score", "code").select("id", "code", "bucket")
+
+
+@query("percentile_cut_missing", "WITH " + _GAPS + """, q AS (
+  SELECT quantile_cont(s, 0.95) AS q95, quantile_cont(s, 0.8) AS q80 FROM gaps)
+SELECT id, CASE WHEN s >= q95 THEN 'SIU' WHEN s >= q80 THEN 'Manual Review' ELSE 'Approve' END AS bucket FROM gaps, q""")
+def percentile_cut_missing(spark, sf):
+    return triage.percentile_cut(_gaps(spark, sf), "score").select("id", "bucket")
+
+
+@query("queue_rank_missing", "WITH " + _GAPS + """
+SELECT id, floor(rank() OVER (ORDER BY s DESC NULLS LAST) + (count(*) OVER (PARTITION BY s) - 1) / 2)::BIGINT AS queue_rank FROM gaps""")
+def queue_rank_missing(spark, sf):
+    return triage.queue_rank(_gaps(spark, sf), "score").select("id", "queue_rank")
+
+
+@query("global_rank_missing", "WITH " + _GAPS + """
+SELECT g.id, rank, n AS n_rows, row_number() OVER (PARTITION BY month_num ORDER BY big) AS in_month FROM gap_ranked g""")
+def global_rank_missing(spark, sf):
+    ranked = ordering.with_rank(_gaps(spark, sf), "score", "id")
+    return (ordering.with_rank(ranked, "big", "code", by=["month_num"], descending=False, rank="in_month", total="_in")
+            .select("id", "rank", "n_rows", "in_month"))
+
+
+@query("stratified_split_missing", "WITH " + _GAPS + f""", d AS (
+  SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY {_u('id', '42')}, id) AS r, count(*) OVER (PARTITION BY label) AS n FROM gaps), h AS (
+  SELECT *, round(n * 0.2::DOUBLE) AS held, round(round(n * 0.2::DOUBLE) * 0.5) AS tested FROM d)
+SELECT id, label, CASE WHEN r <= tested THEN 'test' WHEN r <= held THEN 'val' ELSE 'train' END AS split FROM h""")
+def stratified_split_missing(spark, sf):
+    return resample.stratified_split(_gaps(spark, sf), "id", "label").select("id", "label", "split")
+
+
+@query("order_batches_missing", "WITH " + _GAPS + """
+SELECT id, least((row_number() OVER (ORDER BY month_num NULLS LAST, id) - 1) // (count(*) OVER () // 6), 5)::INT + 1 AS batch_id FROM gaps""")
+def order_batches_missing(spark, sf):
+    return triage.batches_in_order(_gaps(spark, sf), "month_num", "id", 6).select("id", "batch_id")

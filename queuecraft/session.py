@@ -73,6 +73,13 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read back: lineage ends there, and the planner sees how large it is."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shipped(spark: SparkSession) -> SparkSession:
     """Send this package to the workers once per session, so that Python functions load wherever a worker starts."""
     context = spark.sparkContext
