@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queuecraft.operators import metrics, prep, resample
+from queuecraft.operators import metrics, ordering, prep, resample
 from queuecraft.session import staged
 
 SEED = 42
@@ -172,14 +172,21 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
                            repeats: int = 10, seed: int = SEED) -> DataFrame:
     """Mean and deviation of the drop in average precision when one column is shuffled.
 
-    All (feature, repeat) frames are scored and measured in one job.
+    One permutation a repeat serves all features: the row at place i in key order meets the row at place i in hash order
+    once, and each feature's frame takes that one value from it. All frames are scored and measured in one job.
     """
-    parts = []
-    for f in features:
-        shuffled = resample.permute_column(df, key, f, repeats, seed).drop(f)
-        swapped = df.drop(f).join(shuffled, key).withColumnRenamed(f"{f}_permuted", f)
-        parts.append(swapped.select(*df.columns, "repeat", F.lit(f).alias("feature")))
-    rows = reduce(DataFrame.unionByName, parts)
+    rest = [c for c in df.columns if c not in features]
+    places = ordering.with_rank(df.select(key), key, key, descending=False, rank="_r", total="_n").drop("_n")
+    again = F.explode(F.sequence(F.lit(1), F.lit(repeats)))
+    drawn = (df.select(key, F.struct(*features).alias("_other")).withColumn("repeat", again)
+             .withColumn("_u", resample.uniform(F.col(key), F.lit(seed), F.col("repeat"))))
+    others = ordering.with_rank(drawn, "_u", key, by=["repeat"], descending=False, rank="_r", total="_n",
+                                buckets=resample.even_buckets(df)).select("repeat", "_r", "_other")
+    met = df.join(places.withColumn("repeat", again).join(others, ["repeat", "_r"]).drop("_r"), key)
+    frames = F.array(*[
+        F.struct(F.lit(f).alias("feature"), *[(F.col("_other")[c] if c == f else F.col(c)).alias(c) for c in features])
+        for f in features])
+    rows = met.select(*rest, "repeat", F.inline(frames))
     after = metrics.areas(scorer(rows), "score", label, by=["feature", "repeat"])
     before = metrics.average_precision(scorer(df), "score", label).first()["average_precision"]
     drop = F.lit(before) - F.col("average_precision")

@@ -1,21 +1,17 @@
 """Exact nearest passages for a table of queries, without forming all pairs.
 
 Each task compares a block of passages with a block of queries as one matrix product and passes on only
-its k nearest per query; the k nearest overall are picked from those. Few queries travel to
-the passages; many queries are cut into blocks that meet the passage blocks.
+its k nearest per query; the k nearest overall are picked from those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP_K = 5
-QUERY_LIMIT = 2048        # queries that may travel with the tasks (a few MB of vectors)
 QUERY_BLOCK = 2048
 PASSAGE_BLOCK = 20000
 
@@ -52,37 +48,10 @@ def top_k(near: DataFrame, k: int) -> DataFrame:
 
 def knn(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataFrame:
     """(query_id, passage_id, distance, rank) of the k nearest. Both sides have an id and a ``vector``;
-    named ``query_id`` and ``passage_id``. The distance is the squared Euclidean one."""
-    head = queries.select("query_id", "vector").limit(QUERY_LIMIT + 1).collect()   # size check of the query side
-    if len(head) <= QUERY_LIMIT:
-        return top_k(_few_queries(head, passages, k), k)
-    return knn_blocks(queries, passages, k)
-
-
-def _few_queries(rows: Sequence, passages: DataFrame, k: int) -> DataFrame:
-    spark = passages.sparkSession
-    if not rows:
-        return spark.createDataFrame([], NEAR_SCHEMA)
-    side = spark.sparkContext.broadcast((np.array([r["query_id"] for r in rows]),
-                                         np.array([r["vector"] for r in rows], dtype=np.float64)))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, vectors = side.value
-        best = None
-        for batch in batches:
-            if len(batch):
-                found = nearest_in_block(query_ids, vectors, batch["passage_id"].to_numpy(), _stack(batch["vector"]), k)
-                both = found if best is None else pd.concat([best, found], ignore_index=True)
-                # keep k per query while walking the partition
-                best = both.sort_values(["query_id", "distance", "passage_id"]).groupby("query_id").head(k)
-        if best is not None:
-            yield best
-
-    return passages.select("passage_id", "vector").mapInPandas(scan, NEAR_SCHEMA)
-
-
-def knn_blocks(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataFrame:
-    """The same for any number of queries: every block of queries meets every block of passages once."""
+    named ``query_id`` and ``passage_id``. The distance is the squared Euclidean one.
+
+    Every block of queries meets every block of passages once; up to QUERY_BLOCK queries no passage is copied.
+    """
     n_q = max(1, -(-queries.count() // QUERY_BLOCK))
     n_p = max(1, -(-passages.count() // PASSAGE_BLOCK))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
@@ -97,3 +66,6 @@ def knn_blocks(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataF
 
     near = left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb")).applyInPandas(meet, NEAR_SCHEMA)
     return top_k(near, k)
+
+
+knn_blocks = knn       # the name under which callers with many queries know it

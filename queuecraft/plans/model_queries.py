@@ -334,11 +334,11 @@ def reason_codes(spark, sf):
     WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING))), reps AS (
   SELECT l.*, rep, row_number() OVER (PARTITION BY rep ORDER BY id) AS r,
          row_number() OVER (PARTITION BY rep ORDER BY (('0x' || substr(md5(concat_ws('|', id, 42, rep)), 1, 8))::BIGINT / 4294967296.0::DOUBLE), id) AS h
-  FROM linear_rows l, range(1, 3) t(rep)), swapped AS (
+  FROM linear_rows l, range(1, 11) t(rep)), swapped AS (
   """ + " UNION ALL ".join(
     f"SELECT '{f}' AS feature, a.rep, a.label, round(" + " + ".join(
         f"{w!r}::DOUBLE * {'b' if c == f else 'a'}.{c}" for c, w in V.LINEAR_WEIGHTS.items())
-    + f", 6) AS s FROM reps a JOIN reps b ON a.rep = b.rep AND a.r = b.h" for f in ("late", "month")) + """), aps AS (
+    + f", 6) AS s FROM reps a JOIN reps b ON a.rep = b.rep AND a.r = b.h" for f in V.LINEAR_WEIGHTS) + """), aps AS (
   SELECT feature, rep, sum((p / tp) * (cp / cn)) AS ap FROM (
     SELECT feature, rep, n, p, sum(n) OVER w AS cn, sum(p) OVER w AS cp, sum(p) OVER (PARTITION BY feature, rep) AS tp
     FROM (SELECT feature, rep, s, count(*) AS n, sum(label) AS p FROM swapped GROUP BY ALL)
@@ -350,4 +350,4 @@ def permutation_importance(spark, sf):
         total = total + F.lit(w) * F.col(c)
     score = lambda df: df.withColumn("score", F.round(total, 6))
     rows = V.linear_rows(spark, sf)
-    return rounded(learn.permutation_importance(rows, "id", "label", ["late", "month"], score, repeats=2, seed=42))
+    return rounded(learn.permutation_importance(rows, "id", "label", list(V.LINEAR_WEIGHTS), score, repeats=10, seed=42))

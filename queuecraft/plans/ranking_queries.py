@@ -363,7 +363,7 @@ def stratified_folds(spark, sf):
     return resample.stratified_folds(V.scored(spark, sf), "id", "label", 5, repeats=2).select("id", "repeat", "fold")
 
 
-REPLICATES = 40
+REPLICATES = 2000
 
 
 @query("bootstrap_ci", "WITH " + V.IMBALANCED + f""", draws AS (

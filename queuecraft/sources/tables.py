@@ -13,16 +13,6 @@ def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal rows out by key when the files give fewer splits than there are cores; else leave them.
-
-    For dear row-local work on a table that sits in a few unsplittable files. A large table has more
-    splits than cores and is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with a header and a declared schema (no inference pass over the data)."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
