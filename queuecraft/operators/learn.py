@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import metrics, ordering, prep, resample
-from queuecraft.session import staged
+from queuecraft.session import staged, written
 
 SEED = 42
 
@@ -106,6 +106,31 @@ def fitter(families: Mapping[str, Callable[[], Estimator]], numeric: Sequence[st
     return fit
 
 
+def folds_scored(df: DataFrame, key: str, label: str, fold: str, folds: int, families: Mapping[str, Callable[[], Estimator]],
+                 numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = (), parallelism: int = 4) -> DataFrame:
+    """Every row scored by each family's model that did not see it: (key, label, fold, keep, model, score).
+
+    The preprocessors of all folds are fitted in one pass; each fold's vectors are written once, for training and for
+    scoring. The loop is over models, never over rows.
+    """
+    ready = prep.fit_folds(df, fold, folds, numeric, categorical)
+    by_fold = df.groupBy(fold).agg(F.sum((F.col(label) == 0).cast("long")).alias("no"), F.sum((F.col(label) == 1).cast("long")).alias("yes")).collect()
+
+    def one(i: int) -> DataFrame:
+        made = ready[i].transform(df, [key, label, fold, *keep], vector="features").withColumn("label", F.col(label).cast("double"))
+        no, yes = (sum(r[c] or 0 for r in by_fold if r[fold] != i) for c in ("no", "yes"))
+        weight = no / yes if no and yes else 1.0
+        vectors = written(made.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(1.0)))
+        train, held = vectors.filter(F.col(fold) != i), vectors.filter(F.col(fold) == i)
+        parts = [score_with(make().fit(train), held, [key, label, fold, *keep]).withColumn("model", F.lit(name))
+                 for name, make in families.items()]
+        return reduce(DataFrame.unionByName, parts)
+
+    with ThreadPool(min(folds, parallelism)) as pool:     # the fits' jobs share the cluster
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fold_scores(scored: DataFrame, label: str, by: Sequence[str]) -> DataFrame:
     """Areas of every fold (and model, arm, ...) in one job."""
     return metrics.areas(scored, "score", label, by=list(by))
@@ -136,14 +161,19 @@ def tune(train: DataFrame, estimator: Estimator, trials: Sequence[Mapping], fold
     return train.sparkSession.createDataFrame(rows, "trial int, params string, mean double, std double, is_best boolean")
 
 
-def stack(base_scores: Sequence[DataFrame], key: str, label: str) -> tuple[Model, DataFrame]:
-    """Logistic model over out-of-fold scores of the base models, and its input."""
+def stack_input(base_scores: Sequence[DataFrame], key: str, label: str) -> DataFrame:
+    """The base models' scores of each row side by side, as the meta-model reads them."""
     joined = base_scores[0].select(key, label, F.col("score").alias("s0"))
     for i, other in enumerate(base_scores[1:], 1):
         joined = joined.join(other.select(key, F.col("score").alias(f"s{i}")), key)
     names = [f"s{i}" for i in range(len(base_scores))]
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(joined).withColumn("label", F.col(label).cast("double"))
-    return logistic(weight=None).fit(ready), ready
+    return VectorAssembler(inputCols=names, outputCol="features").transform(joined).withColumn("label", F.col(label).cast("double"))
+
+
+def stack(base_scores: Sequence[DataFrame], key: str, label: str) -> tuple[Model, DataFrame]:
+    """Logistic model, classes balanced, over out-of-fold scores of the base models, and its input."""
+    ready = stack_input(base_scores, key, label)
+    return logistic().fit(prep.add_class_weight(ready, "label")), ready
 
 
 def calibrate_isotonic(fit_on: DataFrame, score: str, label: str) -> Callable[[DataFrame], DataFrame]:

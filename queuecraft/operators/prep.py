@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuecraft.operators import ordering
+from queuecraft.session import written
 
 UNKNOWN = "Unknown"
 MAX_LEVELS = 100_000     # levels of one column that may travel to the driver as column names
@@ -115,6 +116,58 @@ class Preprocessor:
         return cls(**json.loads(text))
 
 
+def fit_folds(df: DataFrame, fold: str, folds: int, numeric: Sequence[str], categorical: Sequence[str]) -> list[Preprocessor]:
+    """The preprocessor of every fold's training rows (all rows of the other folds), from one pass over ``df``.
+
+    Every (column, value) is counted once, with one counter a fold; what a fold trains on is the total less its own
+    count. Medians of all folds come from one set of running sums over those counts, moments from one more aggregation.
+    """
+    def cell(c: str, value, level):
+        return F.struct(F.lit(c).alias("feature"), value.cast("double").alias("value"), level.alias("level"))
+
+    nothing = F.lit(None).cast("string")
+    cells = [cell(c, F.nanvl(F.col(c).cast("double"), F.lit(None)), nothing) for c in numeric]
+    cells += [cell(c, F.lit(None), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))) for c in categorical]
+    own = [F.count(F.when(F.col(fold) == i, 1)).alias(f"own{i}") for i in range(folds)]
+    counted = df.select(fold, F.inline(F.array(*cells))).groupBy("feature", "value", "level").agg(F.count("*").alias("n"), *own)
+    counts = written(counted.select("feature", "value", "level", *[(F.col("n") - F.col(f"own{i}")).alias(f"n{i}") for i in range(folds)]))
+
+    levels: list[dict[str, list[str]]] = [{c: [] for c in categorical} for _ in range(folds)]
+    for r in counts.filter(F.col("level").isNotNull()).collect() if categorical else []:
+        for i in range(folds):
+            if r[f"n{i}"]:
+                levels[i][r["feature"]].append(r["level"])
+
+    medians: list[dict[str, float]] = [{c: 0.0 for c in numeric} for _ in range(folds)]
+    moments: list[dict[str, list[float]]] = [{} for _ in range(folds)]
+    if numeric:
+        numbers = counts.filter(F.col("level").isNull())
+        run = ordering.running_sums(numbers.filter(F.col("value").isNotNull()), "value",
+                                    {str(i): F.col(f"n{i}") for i in range(folds)}, by=["feature"], descending=False)
+
+        def middle(i: int, place):      # the value at a 1-based place among the fold's training rows
+            return F.max(F.when((F.col(f"cum_{i}") >= place) & (F.col(f"cum_{i}") - F.col(f"n{i}") < place), F.col("value")))
+
+        low, high = ((lambda i: F.floor((F.col(f"tot_{i}") - 1) / 2) + 1), (lambda i: F.floor(F.col(f"tot_{i}") / 2) + 1))
+        found = run.groupBy("feature").agg(*[((middle(i, low(i)) + middle(i, high(i))) / 2).alias(f"m{i}") for i in range(folds)]).collect()
+        for r in found:
+            for i in range(folds):
+                medians[i][r["feature"]] = float(r[f"m{i}"] or 0.0)
+        table = df.sparkSession.createDataFrame([(c, [medians[i][c] for i in range(folds)]) for c in numeric], "feature string, m array<double>")
+        gap = lambda i: F.coalesce(F.col("value"), F.col("m")[i]) - F.col("m")[i]
+        sums = numbers.join(table, "feature").groupBy("feature").agg(*[
+            F.sum(F.col(f"n{i}") * part).cast("double").alias(f"{name}{i}") for i in range(folds)
+            for name, part in (("c", F.lit(1)), ("s", gap(i)), ("q", gap(i) * gap(i)))]).collect()
+        for r in sums:
+            for i in range(folds):
+                n = r[f"c{i}"] or 1.0
+                shift = r[f"s{i}"] / n
+                spread = max(0.0, r[f"q{i}"] / n - shift * shift) ** 0.5
+                moments[i][r["feature"]] = [medians[i][r["feature"]] + shift, spread or 1.0]
+    return [Preprocessor(list(numeric), list(categorical), medians[i], {c: moments[i].get(c, [0.0, 1.0]) for c in numeric},
+                         {c: sorted(levels[i][c]) for c in categorical}) for i in range(folds)]
+
+
 def class_weight(df: DataFrame, label: str) -> DataFrame:
     """Negatives over positives, with both counts."""
     counts = df.agg(F.sum((F.col(label) == 0).cast("long")).alias("negatives"), F.sum((F.col(label) == 1).cast("long")).alias("positives"))

@@ -135,10 +135,10 @@ def _folded(spark, sf, k):
 
 
 def _oof(rows, families, numeric, categorical, k):
-    fit = learn.fitter(families, numeric, categorical, KEY, LABEL, keep=["fold"])
-    return learn.out_of_fold(rows, KEY, LABEL, "fold", k, fit)
+    return learn.folds_scored(rows, KEY, LABEL, "fold", k, families, numeric, categorical)
 
 
+FOLDS = 5
 _SMALL_GBT = partial(learn.boosted, maxIter=5, maxDepth=3)
 _SMALL_FOREST = partial(learn.forest, numTrees=8, maxDepth=4)
 _QUICK_LR = partial(learn.logistic, maxIter=10, regParam=0.01)
@@ -147,12 +147,12 @@ _QUICK_LR = partial(learn.logistic, maxIter=10, regParam=0.01)
 @query("oof_scores")
 def oof_scores(spark, sf):
     """Every claim scored by the model that did not see it."""
-    return _oof(_folded(spark, sf, 3), {"logistic": _QUICK_LR}, NUMERIC, CATEGORICAL, 3)
+    return _oof(_folded(spark, sf, FOLDS), {"logistic": _QUICK_LR}, NUMERIC, CATEGORICAL, FOLDS)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    scored = _oof(_folded(spark, sf, 3), {"boosted": _SMALL_GBT}, NUMERIC, CATEGORICAL, 3)
+    scored = _oof(_folded(spark, sf, FOLDS), {"boosted": _SMALL_GBT}, NUMERIC, CATEGORICAL, FOLDS)
     return metrics.fold_summary(learn.fold_scores(scored, LABEL, ["fold"]), "fold", "average_precision")
 
 
@@ -166,16 +166,16 @@ def _compared(scored, baseline):
 def bakeoff(spark, sf):
     """Model families on the same folds, compared with the logistic baseline."""
     families = {"logistic": _QUICK_LR, "boosted": _SMALL_GBT, "forest": _SMALL_FOREST, "margin": partial(learn.margin_machine, maxIter=5)}
-    return _compared(_oof(_folded(spark, sf, 2), families, NUMERIC, CATEGORICAL, 2), "logistic")
+    return _compared(_oof(_folded(spark, sf, FOLDS), families, NUMERIC, CATEGORICAL, FOLDS), "logistic")
 
 
 @query("ablation")
 def ablation(spark, sf):
     """Raw columns, engineered columns, and both, on the same folds; gain over raw."""
-    rows = _folded(spark, sf, 2)
+    rows = _folded(spark, sf, FOLDS)
     arms = {"raw": (RAW_NUMERIC, RAW_CATEGORICAL), "engineered": (NUMERIC, CATEGORICAL),
             "both": (sorted({*RAW_NUMERIC, *NUMERIC}), RAW_CATEGORICAL)}
-    parts = [_oof(rows, {name: _QUICK_LR}, n, c, 2) for name, (n, c) in arms.items()]
+    parts = [_oof(rows, {name: _QUICK_LR}, n, c, FOLDS) for name, (n, c) in arms.items()]
     return _compared(reduce(DataFrame.unionByName, parts), "raw")
 
 
@@ -190,11 +190,15 @@ def tune_gbt(spark, sf):
 
 @query("oof_stack")
 def oof_stack(spark, sf):
-    rows = _folded(spark, sf, 2)
-    scored = _oof(rows, {"logistic": _QUICK_LR, "boosted": _SMALL_GBT}, NUMERIC, CATEGORICAL, 2)
-    base = [scored.filter(F.col("model") == name) for name in ("logistic", "boosted")]
-    model, ready = learn.stack(base, KEY, LABEL)
-    return learn.score_with(model, ready, [KEY, LABEL])
+    """Meta-model fitted on out-of-fold scores of the training rows, applied to held-out rows that the base models, fitted
+    on all training rows, have not seen either."""
+    families = {"logistic": _QUICK_LR, "boosted": _SMALL_GBT}
+    train = staged(resample.stratified_folds(_part(_claims(spark, sf), "train"), KEY, LABEL, FOLDS))
+    scored = _oof(train, families, NUMERIC, CATEGORICAL, FOLDS)
+    model, _ = learn.stack([scored.filter(F.col("model") == name) for name in families], KEY, LABEL)
+    _, vectors = _vectors(spark, sf)
+    base = [_held_out(make().fit(_part(vectors, "train")), vectors) for make in families.values()]
+    return learn.score_with(model, learn.stack_input(base, KEY, LABEL), [KEY, LABEL])
 
 
 def _calibration(spark, sf, how):

@@ -52,6 +52,27 @@ def test_bootstrap_brackets_the_point(rows):
     assert r["low"] < r["point"] < r["high"] and r["replicates"] == 60
 
 
+def test_preprocessors_of_all_folds_in_one_pass(rows):
+    folded = rows.withColumn("fold", (F.col("id") % 3).cast("int")).withColumn("c", F.when(F.col("id") == 1, "rare").otherwise(F.col("c")))
+    for i, got in enumerate(prep.fit_folds(folded, "fold", 3, ["x", "y"], ["c"])):
+        want = prep.Preprocessor.fit(folded.filter(F.col("fold") != i), ["x", "y"], ["c"])
+        assert got.medians == pytest.approx(want.medians) and got.levels == want.levels
+        for c in ("x", "y"):
+            assert got.moments[c] == pytest.approx(want.moments[c])
+
+
+def test_every_row_is_scored_by_a_model_that_did_not_see_it(rows):
+    folded = resample.stratified_folds(rows, "id", "label", 3)
+    scored = learn.folds_scored(folded, "id", "label", "fold", 3, {"logistic": learn.logistic}, ["x", "y"], ["c"])
+    got = scored.collect()
+    assert sorted(r["id"] for r in got) == list(range(400)) and all(0 <= r["score"] <= 1 for r in got)
+    ready = prep.Preprocessor.fit(folded.filter("fold <> 1"), ["x", "y"], ["c"])
+    vectors = ready.transform(folded, ["id", "fold", "label"], vector="features").withColumn("label", F.col("label").cast("double"))
+    model = learn.logistic().fit(prep.add_class_weight(vectors.filter("fold <> 1"), "label"))
+    want = {r["id"]: r["score"] for r in learn.score_with(model, vectors.filter("fold = 1"), ["id"]).collect()}
+    assert {r["id"]: r["score"] for r in got if r["fold"] == 1} == pytest.approx(want, abs=1e-6)
+
+
 def test_preprocessor_learns_from_train_only(spark, rows):
     train, other = rows.filter("id < 200"), rows.filter("id >= 200")
     ready = prep.Preprocessor.fit(train, ["x", "y"], ["c"])
