@@ -52,6 +52,7 @@ ACTION_REST = [
     "This claim is recommended for **Standard Approval**. Process through automated workflow.",
     "Note: This claim will be part of the quarterly random sampling audit.",
 ]
+# This library's own wording; callers may pass theirs.
 PROMPT_OPENING = "Write a short brief about the claim below for the person who has to decide on it."
 PROMPT_INSTRUCTIONS = """## Instructions
 Use two or three plain paragraphs. Say what the listed factors mean for this claim: a "High risk" factor
@@ -95,7 +96,8 @@ def _numbered(passages: Column, word) -> Column:
     return F.transform(passages, lambda p, i: word(p, (i + 1).cast("string")))
 
 
-def prompt_text(fields: Mapping[str, Column], score: Column, bucket: Column, reasons: Column, passages: Column) -> Column:
+def prompt_text(fields: Mapping[str, Column], score: Column, bucket: Column, reasons: Column, passages: Column,
+                opening: str = PROMPT_OPENING, instructions: str = PROMPT_INSTRUCTIONS) -> Column:
     """The prompt for a text model, as a column; calling a model is outside the library.
 
     ``passages`` is an array of struct(source, text).
@@ -106,9 +108,9 @@ def prompt_text(fields: Mapping[str, Column], score: Column, bucket: Column, rea
     context = F.array_join(_numbered(passages, lambda p, i: F.concat(
         F.lit("[Source "), i, F.lit(": "), p["source"], F.lit("]\n"), p["text"])), "\n\n")
     return F.concat(
-        F.lit(PROMPT_OPENING + "\n\n## Claim Data\n"), summary, F.lit("\n\n## Risk Score: "), F.format_string("%.4f", score),
+        F.lit(opening + "\n\n## Claim Data\n"), summary, F.lit("\n\n## Risk Score: "), F.format_string("%.4f", score),
         F.lit("\n## Triage Bucket: "), bucket, F.lit("\n\n## Machine-Generated Risk Factors (SHAP Analysis)\n"), factors,
-        F.lit("\n\n## Relevant Policy Guidelines\n"), context, F.lit("\n\n" + PROMPT_INSTRUCTIONS))
+        F.lit("\n\n## Relevant Policy Guidelines\n"), context, F.lit("\n\n" + instructions))
 
 
 def template_brief(fields: Mapping[str, Column], score: Column, bucket: Column, reasons: Column, passages: Column) -> Column:

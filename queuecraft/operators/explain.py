@@ -13,7 +13,6 @@ from queuecraft.session import staged
 
 N_DRIVERS = 5
 N_WATERFALL = 10
-N_DISPLAY = 15
 
 
 def linear_contributions(df: DataFrame, weights: Mapping[str, float], means: Mapping[str, float],

@@ -9,7 +9,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +17,6 @@ from queuecraft.operators import ordering
 from queuecraft.session import written
 
 UNKNOWN = "Unknown"
-MAX_LEVELS = 100_000     # levels of one column that may travel to the driver as column names
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
@@ -27,13 +26,6 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {r["feature"]: r["median"] for r in rows}
 
 
-def approximate_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """The ML imputer's sketch, for when a value near the median will do."""
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    model = Imputer(strategy="median", inputCols=list(columns), outputCols=[f"{c}_i" for c in columns]).fit(cast)
-    return model.surrogateDF.first().asDict()
-
-
 def fill_values(df: DataFrame, values: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(float(v)))
                            for c, v in values.items()})
@@ -50,15 +42,12 @@ def scale(df: DataFrame, moments: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per column, null read as "Unknown". They become column names, so their number is checked."""
+    """Sorted levels per column, null read as "Unknown". They become the model's columns: their number is its width."""
     cells = F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("level"))
                       for c in columns])
     seen = df.select(F.inline(cells)).distinct()
-    rows = seen.limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} levels: not a categorical column")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in seen.collect():        # one row per column of the model
         levels[r["name"]].append(r["level"])
     return {c: sorted(v) for c, v in levels.items()}
 

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from queuecraft.operators import metrics, ordering, triage
 from queuecraft.session import written
 
-# Fewest positives for a ranking metric, smallest group read, smallest group reported.
+# Fewest positives for a ranking metric, smallest group reported.
 MIN_POSITIVES = 5
-MIN_READ = 5
 MIN_REPORTED = 10
 
 
