@@ -83,7 +83,14 @@ def preprocess(spark, sf):
     return ready.transform(rows, [KEY, "split"])
 
 
-@query("build_dataset")
+@query("build_dataset", _WC + """, d AS (
+  SELECT *, row_number() OVER (PARTITION BY FraudFound_P ORDER BY (('0x' || substr(md5(concat_ws('|', PolicyNumber, 42)), 1, 8))::BIGINT / 4294967296.0::DOUBLE), PolicyNumber) AS r,
+         count(*) OVER (PARTITION BY FraudFound_P) AS n FROM claims), h AS (
+  SELECT *, round(n * 0.2::DOUBLE) AS held, round(round(n * 0.2::DOUBLE) * 0.5) AS tested FROM d), s AS (
+  SELECT *, CASE WHEN r <= tested THEN 'test' WHEN r <= held THEN 'val' ELSE 'train' END AS split FROM h), f AS (
+  SELECT (""" + " + ".join([str(len(NUMERIC)), *[f"count(DISTINCT coalesce({c}::VARCHAR, 'Unknown'))" for c in CATEGORICAL]]) + """)::INT AS n_features,
+         sum(1 - FraudFound_P)::DOUBLE / sum(FraudFound_P) AS positive_weight FROM s WHERE split = 'train')
+SELECT split, count(*) AS n_rows, sum(FraudFound_P) AS positives, n_features, positive_weight FROM s, f GROUP BY ALL""")
 def build_dataset(spark, sf):
     """Scan, features, split, fit, transform, weight: rows, positives, feature count and weight per split."""
     rows = staged(_claims(spark, sf))
