@@ -34,18 +34,24 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     for word in set().union(*words):
         if word not in _WORDS:
             _WORDS[word] = xxhash.xxh64_intdigest(word)
-    out = []
-    with np.errstate(over="ignore"):
-        for own in words:
-            if len(own) < WIDTH:
-                out.append(np.array([xxhash.xxh64_intdigest(b" ".join(own), seed=len(own))] if own else [], np.uint64))
-                continue
-            numbers = np.fromiter(map(_WORDS.__getitem__, own), np.uint64, len(own))
-            n = len(own) - WIDTH + 1
-            total = numbers[:n] * _FACTORS[0]
-            for i in range(1, WIDTH):
-                total += numbers[i:i + n] * _FACTORS[i]
-            out.append(np.unique(mix(total)))
+    sizes = [len(own) for own in words]
+    numbers = np.fromiter((_WORDS[w] for own in words for w in own), np.uint64, sum(sizes))
+    n = max(len(numbers) - WIDTH + 1, 0)
+    with np.errstate(over="ignore"):        # over the texts laid end to end; windows across two texts are not taken
+        total = numbers[:n] * _FACTORS[0]
+        for i in range(1, WIDTH):
+            total += numbers[i:i + n] * _FACTORS[i]
+        total = mix(total)
+    out, at = [], 0
+    for own, size in zip(words, sizes):
+        if size < WIDTH:
+            out.append(np.array([xxhash.xxh64_intdigest(b" ".join(own), seed=size)] if own else [], np.uint64))
+        else:
+            found = np.sort(total[at:at + size - WIDTH + 1])
+            new = np.ones(len(found), dtype=bool)
+            np.not_equal(found[1:], found[:-1], out=new[1:])
+            out.append(found[new])
+        at += size
     return out
 
 
