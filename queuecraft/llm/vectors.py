@@ -20,7 +20,8 @@ ROUNDS = 4              # rounds of neighbours of neighbours at most; fewer once
 STILL = 0.01            # share of changed list entries at which the rounds end
 TOGETHER = 256          # vectors compared at once
 BEST = 6                # finds that one neighbourhood reports for a vector in a round
-AUDIT, RECALL = 256, 0.98   # vectors whose true links are counted, and the share of them that must be found
+BALLS = 1024            # components whose centres are compared at once
+AUDIT, RECALL = 256, 0.98   # vectors whose true links are counted, and the mean share of them that must be found
 SINGLE = 1e-4           # distance from the threshold within which single precision decides nothing
 
 
@@ -239,10 +240,109 @@ def counted_cells(batches):
                                               pa.array(np.concatenate(links).astype(np.int64))], names=["id", "links"])
 
 
+#: The angle of two vectors at the threshold, with room for rounding.
+ANGLE = math.acos(COSINE) + 1e-6
+
+
+def angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
+
+
+def away(batches):
+    """(component, unit, centre) to each row's angle from its centre."""
+    for batch in batches:
+        frame = pa.Table.from_batches([batch]).to_pandas()
+        out = [float(angles(np.frombuffer(u, dtype=np.float64), np.frombuffer(c, dtype=np.float64)))
+               for u, c in zip(frame["unit"], frame["centre"])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["component", "away"])
+
+
+def near_centres(batches):
+    """Cells (size, i, j) of centres to the pairs of components whose reaches leave room for a link."""
+    for frame in whole_groups(batches, ["size", "i", "j"]):
+        for (_, i, j), own in frame.groupby(["size", "i", "j"]):
+            asks, others = own[own["asks"]], own[~own["asks"]]
+            if asks.empty or others.empty:
+                continue
+            near = (angles(matrix(asks["centre"]), matrix(others["centre"]))
+                    <= asks["reach"].to_numpy()[:, None] + others["reach"].to_numpy()[None, :] + ANGLE)
+            a, b = np.nonzero(near)
+            p, q = asks["component"].to_numpy()[a], others["component"].to_numpy()[b]
+            good = p < q if i == j else p != q
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)[good]), pa.array(np.maximum(p, q)[good])], names=["p", "q"])
+
+
+def within_reach(batches):
+    """(p, q, asks, id, unit, centre and reach of the other component) to the rows that may link with the other one."""
+    for batch in batches:
+        frame = pa.Table.from_batches([batch]).to_pandas()
+        good = np.array([angles(np.frombuffer(u, dtype=np.float64), np.frombuffer(c, dtype=np.float64)) <= r + ANGLE
+                         for u, c, r in zip(frame["unit"], frame["centre"], frame["reach"])], dtype=bool)
+        yield pa.RecordBatch.from_pandas(frame.loc[good, ["p", "q", "asks", "id", "unit"]], preserve_index=False)
+
+
+def touching(batches):
+    """Cells (p, q, i, j) of rows of two components to the pairs (a, b) of components of which two vectors link."""
+    for frame in whole_groups(batches, ["p", "q", "i", "j"]):
+        ends = starts_of(*(frame[c].to_numpy() for c in ("p", "q", "i", "j")))
+        out = []
+        for lo, hi in zip(ends[:-1], ends[1:]):
+            own = frame.iloc[lo:hi]
+            asks, others = own[own["asks"]], own[~own["asks"]]
+            if len(asks) and len(others) and (matrix(asks["unit"]) @ matrix(others["unit"]).T >= COSINE).any():
+                out.append((own["p"].iloc[0], own["q"].iloc[0]))
+        if out:
+            a, b = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def crossed(rows: DataFrame, key: str, blocks: str) -> DataFrame:
+    """Each row in the cells (i, j) of its block, as one that asks in its line and one that is asked in its column."""
+    dealt = rows.withColumn("_k", F.pmod(F.xxhash64(key), blocks).cast("int"))
+    return dealt.select(*rows.columns, F.col("_k").alias("i"), F.explode(F.sequence("_k", F.col(blocks) - 1)).alias("j"),
+                        F.lit(True).alias("asks")).union(
+        dealt.select(*rows.columns, F.explode(F.sequence(F.lit(0), "_k")).alias("i"), F.col("_k").alias("j"), F.lit(False).alias("asks")))
+
+
+def joined_across(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """``placed`` (id, component, unit) with those components made one of which vectors in ``rows`` link to each other.
+
+    Every pair of components is looked at: angles are a metric, so components whose centres lie further apart than both
+    reaches and the threshold's angle have no link. What is left is compared vector by vector in blocks.
+    """
+    centres = written(rows.select("component", "unit").mapInArrow(partial_sums, "component long, total binary")
+                      .groupBy("component").agg(F.collect_list("total").alias("totals"))
+                      .mapInArrow(directions, "component long, centre binary"))
+    reach = (rows.join(centres, "component").select("component", "unit", "centre").mapInArrow(away, "component long, away double")
+             .groupBy("component").agg(F.max("away").alias("reach")))
+    balls = written(centres.join(reach, "component").select("component", "centre", "reach", F.length("centre").alias("size")))
+    several = balls.groupBy("size").agg(F.ceil(F.count("*") / BALLS).cast("int").alias("blocks"))
+    pairs = written(crossed(balls.join(F.broadcast(several), "size"), "component", "blocks")
+                    .select("size", "i", "j", "asks", "component", "centre", "reach").repartition("size", "i", "j")
+                    .sortWithinPartitions("size", "i", "j").mapInArrow(near_centres, "p long, q long"))
+    towards = pairs.select("p", "q", F.col("p").alias("component"), F.col("q").alias("other"), F.lit(True).alias("asks")).union(
+        pairs.select("p", "q", F.col("q").alias("component"), F.col("p").alias("other"), F.lit(False).alias("asks")))
+    may = written(towards.join(balls.select(F.col("component").alias("other"), "centre", "reach"), "other")
+                  .join(rows.select("component", "id", "unit"), "component")
+                  .select("p", "q", "asks", "id", "unit", "centre", "reach")
+                  .mapInArrow(within_reach, "p long, q long, asks boolean, id long, unit binary"))
+    count = lambda side: F.ceil(F.sum(F.when(side, 1).otherwise(0)) / TOGETHER).cast("int")
+    sized = may.join(may.groupBy("p", "q").agg(count(F.col("asks")).alias("lines"), count(~F.col("asks")).alias("columns"))
+                     .where("lines > 0 and columns > 0"), ["p", "q"])
+    line, column = (F.pmod(F.xxhash64("id"), x).cast("int") for x in ("lines", "columns"))
+    cells = (sized.where("asks").withColumn("i", line).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)))
+             .unionByName(sized.where("not asks").withColumn("j", column)
+                          .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)))))
+    links = (cells.select("p", "q", "i", "j", "asks", "unit").repartition("p", "q", "i", "j")
+             .sortWithinPartitions("p", "q", "i", "j").mapInArrow(touching, "a long, b long"))
+    parts = components(links).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    return written(placed.join(parts, "component", "left").select("id", F.coalesce("whole", "component").alias("component"), "unit"))
+
+
 def true_links(queries: list[tuple[int, int, bytes]]):
-    """(id, component, unit) to (found, missed) pairs with the queries: linked ones of their component and of others."""
+    """(id, component, unit) to (query, found, missed): its linked vectors of its component and of others."""
     def run(batches):
-        found = missed = 0
+        total = {q[0]: [0, 0] for q in queries}
         by_size: dict[int, list] = {}
         for q in queries:
             by_size.setdefault(len(q[2]), []).append(q)
@@ -255,8 +355,11 @@ def true_links(queries: list[tuple[int, int, bytes]]):
                 linked = matrix(own["unit"]) @ matrix(pd.Series(unit)).T >= COSINE
                 linked &= own["id"].to_numpy()[:, None] != np.array(ids)[None, :]
                 same = own["component"].to_numpy()[:, None] == np.array(parts)[None, :]
-                found, missed = found + int((linked & same).sum()), missed + int((linked & ~same).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([found], pa.int64()), pa.array([missed], pa.int64())], names=["found", "missed"])
+                for q, found, missed in zip(ids, (linked & same).sum(axis=0), (linked & ~same).sum(axis=0)):
+                    total[q][0] += int(found)
+                    total[q][1] += int(missed)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), *(pa.array([t[i] for t in total.values()], pa.int64())
+                                                                               for i in (0, 1))], names=["id", "found", "missed"])
     return run
 
 
@@ -264,8 +367,10 @@ def near_components(rows: DataFrame) -> tuple[DataFrame, float]:
     """(id, component) of the vectors in ``rows`` (id, size, unit; ids distinct), and the recall the audit found.
 
     Random hyperplane orders start neighbour lists; rounds of neighbours of neighbours refine them; list entries at the
-    threshold are tested in double precision and joined to components. The audit holds a fixed number of vectors
-    against all rows; below RECALL, more orders and rounds follow.
+    threshold are tested in double precision and joined to components. A link that neither end lists needs two full
+    lists of links: all vectors with such lists are held against those of the other components. The audit holds a fixed
+    number of vectors, and as many that have links, against all rows; below RECALL, more orders and rounds follow, and
+    where these do not help all components are held against each other.
     """
     n = rows.count()
     levels = max(1, math.ceil(math.log2(max(n, 2) / LEAF)))
@@ -291,14 +396,21 @@ def near_components(rows: DataFrame) -> tuple[DataFrame, float]:
         parts = components(paired.select("a", "b", "unit_a", "unit_b").mapInArrow(cosines, "a long, b long"))
         placed = written(rows.join(parts, "id", "left").select(
             "id", F.coalesce("component", "id").alias("component"), "unit"))
-        queries = placed.orderBy(F.xxhash64("id"), "id").limit(AUDIT).collect()      # AUDIT vectors
-        tested = placed.mapInArrow(true_links([(q.id, q.component, bytes(q.unit)) for q in queries]),
-                                   "found long, missed long").agg(F.sum("found"), F.sum("missed")).first()
-        found, missed = tested[0] or 0, tested[1] or 0
-        recall = found / (found + missed) if found + missed else 1.0
+        full = graph.groupBy("a").agg(F.count("*").alias("n"), F.min("likeness").alias("last")).where(
+            (F.col("n") >= NEIGHBOURS) & (F.col("last") >= COSINE - SINGLE)).select(F.col("a").alias("id"))
+        full = written(placed.join(full, "id", "left_semi"))
+        if full.select("component").distinct().limit(2).count() > 1:
+            placed = joined_across(full, placed)
+        linked = placed.join(parts.select("id"), "id", "left_semi")
+        queries = {q.id: q for some in (placed, linked)
+                   for q in some.orderBy(F.xxhash64("id"), "id").limit(AUDIT).collect()}      # twice AUDIT vectors at most
+        tested = placed.mapInArrow(true_links([(q.id, q.component, bytes(q.unit)) for q in queries.values()]),
+                                   "id long, found long, missed long").groupBy("id").agg(
+            F.sum("found").alias("found"), F.sum("missed").alias("missed")).where("found + missed > 0").collect()
+        recall = sum(t.found / (t.found + t.missed) for t in tested) / len(tested) if tested else 1.0
         if recall >= RECALL:
-            break
-    return placed, recall
+            return placed, recall
+    return joined_across(placed, placed), 1.0
 
 
 def singles(batches):

@@ -174,6 +174,39 @@ def test_vector_links_against_all_pairs(spark, vector_table):
     assert vectors.near_duplicates(vector_table.limit(0))[0].count() == 0
 
 
+def vectors_against_all_pairs(spark, x):
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = unit @ unit.T >= vectors.COSINE
+    np.fill_diagonal(linked, False)
+    group = groups_of(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked)) if a < b])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(table)[0].collect()}
+    assert got == {i: (int(linked[i].sum()), group[i]) for i in range(len(x))}
+    return unit
+
+
+def test_dense_groups_whose_lists_are_full_still_link(spark):
+    rng = np.random.default_rng(12)
+    centres = np.zeros((3, 64))
+    centres[:, 0] = 1
+    centres[1, 1], centres[2, 2] = math.tan(math.radians(15)), 50
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    noise = rng.normal(size=(3, 40, 64))
+    noise *= math.tan(math.radians(10)) / np.linalg.norm(noise, axis=2)[:, :, None]
+    unit = vectors_against_all_pairs(spark, (centres[:, None] + noise).reshape(120, 64))
+    across = unit[:40] @ unit[40:80].T
+    inside = np.sort(unit[:40] @ unit[:40].T, axis=1)[:, -1 - vectors.NEIGHBOURS]
+    assert (across >= vectors.COSINE).any() and across.max() < inside.min()      # no list holds a link to the other group
+
+
+def test_block_comparison_where_the_audit_fails(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "RECALL", 1.1)
+    monkeypatch.setattr(vectors, "ROUNDS", 1)
+    monkeypatch.setattr(vectors, "BALLS", 40)
+    rng = np.random.default_rng(13)
+    vectors_against_all_pairs(spark, np.concatenate([rng.normal(size=8) + 0.25 * rng.normal(size=(20, 8)) for _ in range(8)]))
+
+
 def test_core_vectors_always_link():
     rng = np.random.default_rng(10)
     centre = np.array([1.0] + [0.0] * 7)
