@@ -291,6 +291,12 @@ def test_field_learns_from_context():
     assert secrets.fit_field([(["a"], [0], [])]) is None
 
 
+def test_a_long_file_of_assignments_is_one():
+    lines = "name = value".split()
+    assert secrets.file_names(lines * 3_000) == ("file assigns", "file long")
+    assert secrets.file_names(["word"] * 9_000) == ("file prose", "file long")
+
+
 def test_masking(spark, odd):
     docs = odd.unionByName(spark.createDataFrame(rows_of(SECRETS, range(100, 100 + len(SECRETS))), SCHEMA))
     out = secrets.without_secrets(docs)
