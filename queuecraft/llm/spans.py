@@ -11,10 +11,11 @@ ARROW = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end"
 
 
 def in_order(base: list[tuple[int, int, str]], added: list[tuple[int, int, str]], kinds: tuple[str, ...]) -> list[dict]:
-    """Spans by begin, then by kind as listed. Added spans that touch a base span or an earlier added one go."""
+    """Spans by begin, then by kind as listed. Added spans that lie wholly inside a base span or an added one go; those
+    that reach beyond one stay beside it."""
     taken = sorted(base)
-    for begin, end, kind in sorted(added):
-        if all(end <= b or e <= begin for b, e, _ in taken):
+    for begin, end, kind in sorted(added, key=lambda s: (s[0], -s[1])):
+        if not any(b <= begin and end <= e for b, e, _ in taken):
             taken.append((begin, end, kind))
     own = set(base)
     rows = [{"kind": k, "begin": b, "end": e, "base": (b, e, k) in own} for b, e, k in taken]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from queuecraft.llm import packing, pieces, pii, quality, secrets, sharding, toxicity
-from queuecraft.llm.spans import digest_columns
+from queuecraft.llm.spans import digest_columns, in_order
 
 from .conftest import SCHEMA, invented, rows_of
 
@@ -297,6 +297,15 @@ def test_a_long_file_of_assignments_is_one():
     assert secrets.file_names(["word"] * 9_000) == ("file prose", "file long")
 
 
+def test_added_spans_that_reach_beyond_a_base_span_stay():
+    text = "use sk_live_0123456789abcdefXYZ now"
+    base = secrets.base_spans(text)
+    assert base == [(12, 28, "hex")]
+    spans = in_order(base, [(4, 31, "field"), (14, 20, "field")], secrets.KINDS)
+    assert [(s["begin"], s["end"], s["base"]) for s in spans] == [(4, 31, False), (12, 28, True)]
+    assert secrets.masked(text, spans) == f"use {secrets.MASK} now"
+
+
 def test_masking(spark, odd):
     docs = odd.unionByName(spark.createDataFrame(rows_of(SECRETS, range(100, 100 + len(SECRETS))), SCHEMA))
     out = secrets.without_secrets(docs)
