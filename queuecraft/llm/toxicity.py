@@ -18,7 +18,9 @@ END = "\n"               # closes a term that is a whole word; a term without it
 TOXIC_SAMPLE = 4_000     # labelled documents the model is fitted on, at most, by class
 CLEAN_SAMPLE = 8_000
 SHORTEST, LONGEST = 4, 14
-CHANCE = 1e-6            # a term is kept if its toxic documents would fall together by chance this rarely
+SHORTEST_WORD = 3        # of terms that are whole words and allow no edit
+CHANCE = 1e-6            # a term is kept if its toxic documents would fall together by chance this rarely,
+RATIO = 10               # and if it stands this many times as often in toxic documents as in others
 CACHED_WORDS = 300_000   # a worker's word table is emptied beyond this; it only saves repeated work
 WINDOW = 6               # words on each side that decide whether a hit is quoted
 TRIM = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…|"
@@ -31,8 +33,8 @@ class Lexicon:
     """The trie of terms and its product with Levenshtein automata, made deterministic as words ask for it.
 
     A state holds the (trie node, edits) pairs that some spelling of the word read so far can reach. Open stems under
-    6 and whole words under 5 characters allow no edit, others one, whole words of 9 and more two; the first character
-    always holds.
+    6 and whole words under 5 characters and words with other characters than letters allow no edit, others one, whole
+    words of 9 and more two; the first character always holds.
     """
 
     def __init__(self, terms: list[str]):
@@ -42,7 +44,7 @@ class Lexicon:
         for term in sorted(terms):
             node, word = 0, term.rstrip(END)
             closed = term.endswith(END)
-            edits = 0 if len(word) < 6 - closed else 2 if len(word) >= 9 and closed else 1
+            edits = 0 if len(word) < 6 - closed or not word.isalpha() else 2 if len(word) >= 9 and closed else 1
             for ch in term:
                 self.below[node] = max(self.below[node], edits)
                 if ch not in self.children[node]:
@@ -112,7 +114,7 @@ def word_table(lexicon: Lexicon, words: set[str], known: dict[str, int]) -> None
     for word in words:
         if word not in known:
             bare = word.strip(TRIM)
-            known[word] = lexicon.edits(bare) if len(bare) >= SHORTEST - 1 else -1
+            known[word] = lexicon.edits(bare) if len(bare) >= SHORTEST_WORD else -1
 
 
 def quoted(words: list[str], at: int) -> bool:
@@ -158,6 +160,8 @@ def prefixes(words: set[str]) -> set[str]:
         if len(word) >= SHORTEST and word.isalpha():
             word = word[:LONGEST] + (END if len(word) <= LONGEST else "")
             out.update(word[:i] for i in range(SHORTEST, len(word) + 1))
+        elif len(word) >= SHORTEST_WORD:
+            out.add(word + END)
     return out
 
 
@@ -173,11 +177,23 @@ def count_prefixes(only: frozenset[str] | None):
     return run
 
 
+def by_chance(toxic: int, clean: int, base: float) -> float:
+    """Chernoff's bound on the log chance that so many of a term's documents are toxic; exact where all are."""
+    share = toxic / (toxic + clean)
+    if share <= base:
+        return 0.0
+    rest = clean * math.log((1 - base) / (1 - share)) if clean else 0.0
+    return toxic * math.log(base / share) + rest
+
+
 def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[str]:
-    """Terms from prefix counts: shortest telling prefixes, drawn out while nearly all their documents go on alike."""
+    """Terms from prefix counts: shortest telling prefixes, drawn out while nearly all their documents go on alike.
+
+    Clean documents may hold a term, as quotations do: what its hits weigh there is left to the features.
+    """
     base = (n_toxic + 1) / (n_toxic + n_clean + 2)
-    telling = {p for p, n in toxic.items() if n * math.log(base) <= math.log(CHANCE)
-               and clean.get(p, 0) * n_toxic <= 0.02 * n * n_clean}
+    telling = {p for p, n in toxic.items() if by_chance(n, clean.get(p, 0), base) <= math.log(CHANCE)
+               and clean.get(p, 0) * n_toxic * RATIO <= n * n_clean}
     shortest = [p for p in telling if not any(p[:i] in telling for i in range(SHORTEST, len(p)))]
     out = set()
     for term in shortest:
@@ -240,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[float]]:
         return {r.prefix: r.n for r in rows.collect()}
     n_bad, n_good = bad.select("text").distinct().count(), good.select("text").distinct().count()
     base = (n_bad + 1) / (n_bad + n_good + 2)
-    least = max(3, math.ceil(math.log(CHANCE) / math.log(base)), n_bad // 50)
+    least = max(3, math.ceil(math.log(CHANCE) / math.log(base)))
     in_bad = counted(bad, None, least)
     in_good = counted(good, frozenset(in_bad), 1) if in_bad else {}
     terms = choose_terms(in_bad, in_good, n_bad, n_good)

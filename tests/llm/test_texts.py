@@ -227,6 +227,22 @@ def test_toxicity_on_held_out_documents(spark, toxic_corpus, empty, no_labels):
     assert {r.score < 0.5 for r in toxicity.score(docs, no_labels).collect()} == {True}
 
 
+def test_rare_quoted_and_odd_terms_are_learned(spark):
+    end = toxicity.END
+    toxic = {"b1tch" + end: 60, "zub" + end: 50, "gutt": 200, "gutter" + end: 200, "wordy" + end: 900, "once" + end: 5}
+    clean = {"gutt": 20, "gutter" + end: 20, "wordy" + end: 1500}
+    terms = toxicity.choose_terms(toxic, clean, 4000, 8000)
+    assert terms == ["b1tch" + end, "gutt", "zub" + end] or terms == ["b1tch" + end, "gutter" + end, "zub" + end]
+    assert {"b1tch" + end, "f*ck" + end, "zub" + end} <= toxicity.prefixes({"b1tch", "f*ck!", "zub,", "ab"})
+    lexicon = toxicity.Lexicon(["b1tchword" + end, "zub" + end])
+    assert [lexicon.edits(w) for w in ("b1tchword", "b2tchword", "zub", "zup", "zubs")] == [0, -1, 0, -1, -1]
+    fitted = [i for i in range(1800) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rare = set(fitted[:16])             # under 2 % of the toxic documents that the model is fitted on
+    docs = spark.createDataFrame(rows_of([f"w{i} " + invented(i, 3, 40) + (" grubworm" if i in rare else "") for i in range(5400)]), SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i < 1800)) for i in range(5400)], "doc_id long, quality int, toxic int")
+    assert len(fitted) // 50 > 16 and any(t.startswith("grub") for t in toxicity.fit(docs, labels)[0])
+
+
 def test_filter_keeps_all_columns(toxic_corpus):
     docs, labels = toxic_corpus
     kept = toxicity.keep_clean(docs, labels)
