@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuecraft.llm.common import documents, starts_of, whole_groups, with_text, written
@@ -19,7 +19,6 @@ GRAM = 32               # bytes of an anchor; every string of LENGTH bytes holds
 GRAMS = LENGTH - GRAM + 1
 CHUNK = 1 << 20         # bytes looked at together; longer texts go through in overlapping chunks
 TOGETHER = 20_000       # contexts of one anchor that are sorted in one task; larger groups are compared string by string
-LAST_ID = 2**63 - 1
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
@@ -76,7 +75,7 @@ def chunks(ids: list, texts: list):
         data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
         for at in range(0, max(len(data) - LENGTH + 1, 0), CHUNK):
             part = data[at:at + CHUNK + LENGTH - 1]
-            held.append((LAST_ID if doc_id is None else doc_id, at, part))
+            held.append((doc_id, at, part))
             size += len(part)
             if size >= CHUNK:
                 yield held
@@ -298,15 +297,41 @@ def single_strings(batches):
                                               pa.array(start, pa.int64())], names=["string", "doc_id", "start"])
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, begin, end) stretches of UTF-8 bytes to remove; several per document, which may touch or overlap.
+def digest() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("_digest")
+
+
+def places(docs: DataFrame) -> DataFrame:
+    """(doc_id, _digest, _id) of every distinct pair: _id rises with doc_id, nulls last, then with the text's digest."""
+    order = [F.col("doc_id").asc_nulls_last(), F.col("_digest")]
+    return written(docs.select("doc_id", digest()).distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+                   .withColumn("_id", F.monotonically_increasing_id()))
+
+
+def same_text(rows: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
+    """``rows`` (doc_id, _digest, ...) joined with ``keyed`` on both; null ids are equal."""
+    keyed = keyed.withColumnsRenamed({"doc_id": "_doc", "_digest": "_text"})
+    return rows.join(keyed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_digest") == F.col("_text")), how)
+
+
+def with_spans(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, _digest, ...) with the stretches of ``docs`` to remove from each text as ``spans``."""
+    keys = places(docs)
+    spans = removed_spans(docs, keys).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.collect_set(F.struct("begin", "end")).alias("spans"))
+    return same_text(rows, keys.join(spans, "_id").select("doc_id", "_digest", "spans"), "left")
+
+
+def removed_spans(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(doc_id: the _id in ``keys``, begin, end) stretches of UTF-8 bytes to remove; several per document, which may touch or overlap.
 
     1. Every 100-byte string has an anchor; a task sends each (anchor, text around it) once. 2. Anchors met once go.
     3. Equal texts around an anchor: all strings of all but the first occurrence repeat. 4. Different texts around one
     anchor are compared by suffix arrays per anchor; anchors with more than TOGETHER texts string by string, with a
     combine before the shuffle. Both ways find the same. Texts around anchors are told apart by 128 bits.
     """
-    texts = docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long").alias("doc_id"), "text")
+    texts = written(same_text(docs.where(F.octet_length("text") >= LENGTH).select("doc_id", "text", digest()), keys, "inner")
+                    .select(F.col("_id").alias("doc_id"), "text"))
     met = written(texts.mapInArrow(anchor_rows, ROW).repartition("route").sortWithinPartitions("route")
                   .mapInArrow(shared_anchors, ROW))
     leads = written(met.where(F.col("kind") != COVERED).repartition("text").sortWithinPartitions("text", "gram", "doc_id", "place")
@@ -363,14 +388,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans, kept: bytes) of every row: its text without each byte that a string of 100 bytes
     covers which also starts earlier, in a smaller doc_id or before it in the same document.
 
-    Null and empty texts have no bytes. Rows that share a doc_id are one document to the order: a place never repeats
-    itself. Rows without an id count as one last document. Strings are judged on the input. An empty table gives an
-    empty result; other columns are not looked at.
+    Null and empty texts have no bytes. Rows that share doc_id and text are one document to the order: a place never
+    repeats itself. Unlike texts of one doc_id follow each other in the order of a digest; texts without an id come last,
+    likewise. Strings are judged on the input. An empty table gives an empty result; other columns are not looked at.
     """
-    spans = removed_spans(docs).groupBy("doc_id").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long").alias("_id"))
-    return (rows.join(spans.withColumnRenamed("doc_id", "_id"), "_id", "left").select("doc_id", "text", "spans")
+    return (with_spans(docs.select("doc_id", "text", digest()), docs).select("doc_id", "text", "spans")
             .mapInArrow(cut_out, f"doc_id {kind}, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"))
 
 
@@ -402,11 +425,8 @@ def whole_characters(batches):
 
 def without_repeated_text(docs: DataFrame) -> DataFrame:
     """``docs`` with each text, and its n_chars, as ``without_repeats`` leaves it, in whole characters."""
-    spans = removed_spans(docs.select("doc_id", "text")).groupBy("doc_id").agg(
-        F.collect_set(F.struct("begin", "end")).alias("spans"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text",
-                       F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long").alias("_id"))
-    joined = rows.join(spans.withColumnRenamed("doc_id", "_id"), "_id", "left").select("row", "text", "spans")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", digest())
+    joined = with_spans(rows, docs.select("doc_id", "text")).select("row", "text", "spans")
     kind = joined.schema["row"].dataType.simpleString()
     return with_text(joined.mapInArrow(whole_characters, f"row {kind}, text string"), docs.columns)
 

@@ -115,6 +115,18 @@ def test_removal_of_odd_documents(odd, empty):
     assert repeats.without_repeats(empty).count() == 0
 
 
+def test_unlike_texts_without_an_id_or_under_one_id(spark):
+    passage, other, third = invented(61, 60), invented(62, 200), invented(63, 200)
+    texts = [(1, passage), (None, passage + " " + invented(64, 100)), (None, other), (2, third), (2, invented(65, 20) + passage)]
+    got = repeats.without_repeats(spark.createDataFrame(rows_of([t for _, t in texts], [i for i, _ in texts]), SCHEMA)).collect()
+    kept = {(r.doc_id, r.n_bytes): bytes(r.kept) for r in got}
+    want = plain_removal(list(enumerate(t.encode() for i, t in sorted(texts, key=lambda x: (x[0] is None, x[0] or 0)))))
+    for at, (i, t) in enumerate(sorted(texts, key=lambda x: (x[0] is None, x[0] or 0))):
+        data = t.encode()
+        assert kept[i, len(data)] == bytes(b for b, g in zip(data, want[at]) if not g)
+    assert len(got) == 5 and kept[None, len(other.encode())] == other.encode()
+
+
 @pytest.mark.parametrize("together", [20_000, 3])
 def test_removal_where_contexts_differ(spark, monkeypatch, together):
     """Passages of all lengths around the threshold, between unlike neighbours, by suffix arrays and string by string."""
