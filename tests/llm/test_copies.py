@@ -84,6 +84,68 @@ def test_one_of_each_keeps_columns(odd):
     assert kept.columns == odd.columns and sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 3
 
 
+@pytest.mark.parametrize("block", [1000, 6])
+def test_a_group_of_near_copies_of_which_only_some_link(spark, monkeypatch, block):
+    """Copies of one text with other words changed: two of them link only if few words are changed in both."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = np.random.default_rng(17)
+    base = invented(5, 120, 5000).split()
+    texts = []
+    for i in range(90):
+        words = list(base)
+        for at in rng.choice(len(words), int(rng.integers(0, 5)), replace=False):
+            words[at] = f"w{rng.integers(10**6)}"
+        texts.append(" ".join(words))
+    want = all_pairs(list(enumerate(texts)))
+    assert 5 < len({g for _, g in want.values()}) < 80
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+           jaccard.similar_components(spark.createDataFrame(rows_of(texts), SCHEMA).repartition(3)).collect()}
+    assert got == want
+
+
+def test_unlike_texts_of_one_id_lose_no_link(spark):
+    one, two, three = (invented(70 + i, 60) for i in range(3))
+    near = lambda text: " ".join(["changed", *text.split()[1:]])
+    rows = [(1, one), (1, two), (3, near(two)), (2, near(one)), (4, three), (4, three), (4, near(three)), (None, one), (9, ""), (9, None), (9, None), (9, "")]
+    df = spark.createDataFrame(rows_of([t for _, t in rows], [i for i, _ in rows]), SCHEMA).repartition(3)
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.similar_components(df).where("doc_id is not null").collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (4, 4), (9, 9), (9, 9), (9, 9), (9, 9)]
+    kept = collections.Counter((r.doc_id, r.text) for r in jaccard.one_of_each(df).collect())
+    last = [k for k in kept if k[0] == 4]
+    assert len(last) == 1 and last[0][1] in (three, near(three))
+    assert kept == collections.Counter([(1, one), (1, two), last[0], (None, one), (9, ""), (9, None)])
+
+
+def links_by_trying(sets, part):
+    return [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_links_among_sets_join_what_all_links_join(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.choice(10**6, int(rng.integers(5, 80)), replace=False)
+    sets = [np.unique(np.append(base[rng.random(len(base)) > rng.choice([0, 0.05, 0.12, 0.2])], rng.choice(10**6, rng.integers(0, 8)))).astype(np.uint64)
+            for _ in range(int(rng.integers(2, 40)))]
+    part = rng.integers(0, len(sets), len(sets)) if seed % 2 else np.arange(len(sets))
+    joined = lambda links: groups_of([*range(len(sets)), *(-1 - p for p in set(part.tolist()))],
+                                     [*links, *((i, -1 - int(p)) for i, p in enumerate(part))])
+    every, got = links_by_trying(sets, part), jaccard.links_among(sets, part)
+    assert joined(every) == joined(got) and {tuple(sorted(x)) for x in got} <= {tuple(sorted(x)) for x in every} and len(got) < len(sets)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_skipped_list_rows_have_no_partner(seed):
+    rng = np.random.default_rng(seed)
+    m = int(rng.integers(1, 60))
+    token, n = np.sort(rng.integers(0, 9, m)), rng.integers(5, 60, m)
+    order = np.lexsort((n, token))
+    token, n = token[order], n[order]
+    left = n - (rng.random(m) * (n + (-80 * n // 100) + 1)).astype(int)        # what a set holds from the shingle on
+    want = [any(i != j and token[i] == token[j] and 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j])
+                and min(left[i], left[j]) >= jaccard.least_overlap(n[i], n[j]) for j in range(m)) for i in range(m)]
+    assert jaccard.partnered(token, n, 180 * left // 80 - n).tolist() == want
+
+
 def plain_removal(docs, length=100):
     """Bytes of every document that a string covers which also starts earlier."""
     seen, out = set(), {}
