@@ -143,8 +143,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     """Numbers of every row, ``base_failed``, ``kept`` and ``reasons`` (names of the rules that reject it).
 
     Null and empty texts have no words and fail the base rule. Labels that are null or name no document are left out;
-    of several labels of one id the highest holds; labels of repeated rows count for each row. Without labels no
-    rule but the base rule is in force. An empty table gives an empty result.
+    of several labels of one id the highest holds. Documents with the same numbers are one trial and lie in one fold: the
+    bounds ask for independent trials, and copies are none. Without labels no rule but the base rule is in force. An empty
+    table gives an empty result.
     """
     rows = written(counted(docs))
     marked = rows.withColumns({r: rule_value(r) for r in RULES}).withColumn("stratum", F.expr(STRATUM))
@@ -152,8 +153,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     truth = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
              .agg(F.max("quality").alias("good")))
     labelled = (marked.where(~base).join(truth, "doc_id")
-                .withColumn("fold", F.crc32(F.concat(F.lit("fold "), F.col("doc_id").cast("string"))) % 2))
-    labelled = written(labelled.select("stratum", "fold", "good", *RULES))
+                .withColumn("copy", F.xxhash64(*COUNTS))
+                .withColumn("fold", F.crc32(F.concat(F.lit("fold "), F.col("copy").cast("string"))) % 2))
+    labelled = written(labelled.select("copy", "stratum", "fold", "good", *RULES).dropDuplicates(["copy", "good"]))
     cutoffs = choose_cutoffs(labelled, alpha, delta)
     out = marked.withColumn("base_failed", base).withColumn("reasons", rejected(cutoffs))
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)).drop(*RULES)

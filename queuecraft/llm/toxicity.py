@@ -207,14 +207,29 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
     return sorted(out)
 
 
+def chance(z: np.ndarray) -> np.ndarray:
+    """The logistic function, without overflow at either end."""
+    return (1 + np.tanh(z / 2)) / 2
+
+
 def fit_weights(rows: np.ndarray, labels: np.ndarray, pull: float = 1.0) -> np.ndarray:
-    """Logistic weights by Newton steps, drawn towards PRIOR; labels with a class missing leave it as it is."""
+    """Logistic weights by Newton steps, drawn towards PRIOR; labels with a class missing leave it as it is.
+
+    A step is halved until the loss falls, so separable labels cannot throw the weights about.
+    """
+    def loss(w: np.ndarray) -> float:
+        z = rows @ w
+        return float((np.logaddexp(0, z) - labels * z).sum() + pull / 2 * ((w - PRIOR) ** 2).sum())
+
     weights = PRIOR.copy()
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-rows @ weights))
+    for _ in range(200):
+        p = chance(rows @ weights)
         slope = rows.T @ (p - labels) + pull * (weights - PRIOR)
         bend = (rows * (p * (1 - p))[:, None]).T @ rows + pull * np.eye(len(weights))
         step = np.linalg.solve(bend, slope)
+        now = loss(weights)
+        while loss(weights - step) > now and np.abs(step).max() >= 1e-8:
+            step = step / 2
         weights = weights - step
         if np.abs(step).max() < 1e-8:
             break
@@ -232,7 +247,7 @@ def scorer(terms: list[str], weights: list[float] | None):
                 word_table(lexicon, set().union(*words), known)
                 found = np.array([features(w, known) for w in words])
                 values = (pa.array(found.tolist(), pa.list_(pa.float64())) if weights is None
-                          else pa.array(1 / (1 + np.exp(-found @ np.array(weights)))))
+                          else pa.array(chance(found @ np.array(weights))))
                 yield pa.RecordBatch.from_arrays([part.column(0), values], names=["doc_id", "value"])
     return run
 

@@ -422,19 +422,20 @@ def singles(batches):
 def near_duplicates(table: DataFrame) -> tuple[DataFrame, float]:
     """(vec_id, n_links, component_id, kept) of every row, and the audited recall.
 
-    Equal vectors are one vector with a count. Where lists are full of links (groups larger than a list) they are
-    enlarged to the whole component: vectors near its mean direction link to each other by the angle alone and are only
+    Equal vectors are one vector with a count. Where lists are full of links (groups larger than a list) the whole
+    component takes the list's place: vectors near its mean direction link to each other by the angle alone and are only
     counted, all others are compared with the component in blocks. So each link inside a component is found, and n_links
     never needs the pairs. Null, empty and zero vectors, and those with null or non-finite components, link with
     nothing, as do vectors of unlike length. Rows without an id are left out of links and keep a null component.
-    Repeated rows are copies. An empty table gives an empty result.
+    Repeated rows are copies; unlike vectors of one id are vectors of their own, each with its own links and component. An
+    empty table gives an empty result.
     """
     kind = table.schema["vec_id"].dataType.simpleString()
     rows = written(table.select("vec_id", F.col("embedding").cast("array<double>"))
                    .mapInArrow(units, f"vec_id {kind}, size long, unit binary").withColumn("same", F.md5("unit")))
     reps = written(rows.where("unit is not null and vec_id is not null").groupBy("same", "size")
-                   .agg(F.min("vec_id").cast("long").alias("id"), F.count("*").alias("times"), F.first("unit").alias("unit"))
-                   .dropDuplicates(["id"]))
+                   .agg(F.min("vec_id").cast("long").alias("least"), F.count("*").alias("times"), F.first("unit").alias("unit"))
+                   .withColumn("id", F.xxhash64("same", "size")))
     placed, recall = near_components(reps.select("id", "size", "unit"))
     placed = placed.join(reps.select("id", "times"), "id")
     several = placed.groupBy("component").agg(F.count("*").alias("members")).where("members > 1")
@@ -460,9 +461,10 @@ def near_duplicates(table: DataFrame) -> tuple[DataFrame, float]:
     counted = sized.join(cells, "id", "left").select(
         "id", "component", (F.coalesce("links", F.lit(0)) + F.when(F.col("core"), F.col("core_times") - F.col("times"))
                             .otherwise(0)).alias("links"))
-    whole = written(reps.select("same", "size", "id", "times").join(counted, "id", "left").select(
-        "same", "size", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id")))
+    told = written(reps.select("same", "size", "id", "times", "least").join(counted, "id", "left").select(
+        "same", "size", "least", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "id").alias("component")))
+    whole = told.join(told.groupBy("component").agg(F.min("least").alias("component_id")), "component").drop("least", "component")
     usable = F.col("unit").isNotNull() & F.col("vec_id").isNotNull()
     out = rows.join(whole, ["same", "size"], "left").select(
         "vec_id", F.when(usable, F.col("n_links")).otherwise(0).cast("long").alias("n_links"),

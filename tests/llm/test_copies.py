@@ -281,6 +281,15 @@ def test_block_comparison_where_the_audit_fails(spark, monkeypatch):
     vectors_against_all_pairs(spark, np.concatenate([rng.normal(size=8) + 0.25 * rng.normal(size=(20, 8)) for _ in range(8)]))
 
 
+def test_unlike_vectors_of_one_id(spark):
+    rng = np.random.default_rng(3)
+    x, y, z = rng.normal(size=(3, 16))
+    rows = [(1, x), (1, y), (2, x + 0.01), (3, y + 0.01), (7, z), (7, z), (None, x), (9, None)]
+    table = spark.createDataFrame([(i, None if v is None else v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vectors.near_duplicates(table)[0].where("vec_id is not null").collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (7, 1, 7, True), (7, 1, 7, True), (9, 0, 9, True)]
+
+
 def test_core_vectors_always_link():
     rng = np.random.default_rng(10)
     centre = np.array([1.0] + [0.0] * 7)

@@ -405,3 +405,37 @@ def test_network_tags_what_it_was_taught_and_windows_agree():
         right += [(text[a], kind) for a, _, kind in pii.tagged_spans(text, tags)] == [("+", "phone")]
     assert right >= 16
     assert pii.train([("abc", [0, 0, 0])]) is None
+
+
+def test_copies_of_a_good_document_open_no_step(spark):
+    """200 copies are one trial: they prove nothing about the share of good documents that a rule rejects."""
+    good = invented(5, 120)
+    bad = [" ".join(w + " ###" for w in invented(100 + i, 60).split()) for i in range(200)]
+    texts = [good] * 200 + bad
+    labels = spark.createDataFrame([(i, int(i < 200), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    rows = quality.apply_rules(spark.createDataFrame(rows_of(texts), SCHEMA), labels).collect()
+    assert all(r.kept for r in rows if not r.base_failed) and not any(r.reasons for r in rows)
+    # as many unlike good documents do open one
+    texts = [invented(1000 + i, 110 + i % 40) for i in range(800)] + bad
+    labels = spark.createDataFrame([(i, int(i < 800), 0) for i in range(1000)], "doc_id long, quality int, toxic int")
+    rows = quality.apply_rules(spark.createDataFrame(rows_of(texts), SCHEMA), labels).collect()
+    assert sum(not r.kept for r in rows if r.doc_id >= 800 and not r.base_failed) > 0.5 * sum(not r.base_failed for r in rows if r.doc_id >= 800)
+
+
+def test_rejected_shares_keep_the_bound_over_repeated_draws():
+    """Over many draws of a holdout, the share of draws whose bound lies below the truth is at most delta."""
+    rng = np.random.default_rng(2)
+    truth, delta = 0.04, 0.1
+    wrong = sum(quality.binomial_upper(int(rng.binomial(150, truth)), 150, delta) < truth for _ in range(2000))
+    assert wrong <= 2000 * delta + 3 * (2000 * delta) ** 0.5
+
+
+def test_separable_labels_keep_the_weights_bounded():
+    rng = np.random.default_rng(6)
+    for scale in (1.0, 30.0):
+        rows = rng.normal(size=(300, len(toxicity.PRIOR))) * scale
+        labels = (rows[:, 0] > 0).astype(float)
+        with np.errstate(over="raise"):
+            weights = toxicity.fit_weights(rows, labels)
+        slope = rows.T @ (toxicity.chance(rows @ weights) - labels) + (weights - toxicity.PRIOR)
+        assert np.isfinite(weights).all() and np.abs(slope).max() < 1e-4 * scale
