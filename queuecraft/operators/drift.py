@@ -45,22 +45,32 @@ def batch_statistics(df: DataFrame, batch: str, score: str, tie: str, label: str
     return sums.join(marks.drop("n_rows"), batch)
 
 
-def _value_counts(df: DataFrame, features: Sequence[str], batch: str, numbers: Sequence[int]) -> DataFrame:
-    """Counts of every (feature, value), one column per batch (0 is the reference), with order buckets.
-
-    One sketch finds every feature's value boundaries; the buckets are marked before the columns are
-    unfolded, so the input is read once for all features.
-    """
-    numeric = df.select(batch, *[F.col(f).cast("double").alias(f) for f in features])
+def order_edges(df: DataFrame, features: Sequence[str]) -> list[list[float]]:
+    """Every feature's value boundaries, from one sketch over ``df``."""
     parts = ordering.default_parts(df)
+    numeric = df.select(*[F.col(f).cast("double").alias(f) for f in features])
     sketches = numeric.approxQuantile(list(features), [i / parts for i in range(1, parts)], 0.25 / parts)
     edges = [[-ordering.INFINITY, *sorted(set(q)), ordering.INFINITY] for q in sketches]
-    edges = [e if len(e) > 2 else [-ordering.INFINITY, 0.0, ordering.INFINITY] for e in edges]
+    return [e if len(e) > 2 else [-ordering.INFINITY, 0.0, ordering.INFINITY] for e in edges]
+
+
+def unfolded(df: DataFrame, keep: Sequence[str], features: Sequence[str], edges: Sequence[Sequence[float]]) -> DataFrame:
+    """(keep, feature, key, order bucket), one row per row and feature; null for a value that is not a number.
+
+    Buckets are marked before the columns are unfolded, so the input is read once for all features.
+    """
+    numeric = df.select(*keep, *[F.nanvl(F.col(f).cast("double"), F.lit(None)).alias(f"_v_{f}") for f in features])
     marks = [f"_b_{f}" for f in features]
-    marked = Bucketizer(inputCols=list(features), outputCols=marks, splitsArray=edges, handleInvalid="keep").transform(numeric)
-    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias(ordering.KEY), F.col(m).cast("long").alias(ordering.BUCKET))
+    marked = Bucketizer(inputCols=[f"_v_{f}" for f in features], outputCols=marks, splitsArray=[list(e) for e in edges],
+                        handleInvalid="keep").transform(numeric)
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_v_{f}").alias(ordering.KEY), F.col(m).cast("long").alias(ordering.BUCKET))
                       for f, m in zip(features, marks)])
-    long = marked.select(batch, F.inline(cells)).filter(F.col(ordering.KEY).isNotNull() & ~F.isnan(ordering.KEY))
+    return marked.select(*keep, F.inline(cells))
+
+
+def _value_counts(df: DataFrame, features: Sequence[str], batch: str, numbers: Sequence[int]) -> DataFrame:
+    """Counts of every (feature, value), one column per batch (0 is the reference), with order buckets."""
+    long = unfolded(df, [batch], features, order_edges(df, features)).filter(F.col(ordering.KEY).isNotNull())
     count = lambda b: F.count(F.when(F.col(batch) == b, 1)).alias(f"n{b}")
     return long.groupBy("feature", ordering.BUCKET, ordering.KEY).agg(*map(count, numbers))
 

@@ -33,13 +33,17 @@ def _ratio(a, b) -> Column:
     return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
 
 
+def average_precision_step() -> Column:
+    """A distinct score's share of the average precision: recall step x precision."""
+    return _ratio("p", "tot_p") * _ratio("cum_p", "cum_n")
+
+
 def average_precision_of(table: DataFrame, by: Sequence[str] = (), out: str = "average_precision") -> DataFrame:
     """Sum over distinct thresholds of (recall step x precision); null where there is no positive."""
-    step = _ratio("p", "tot_p") * _ratio("cum_p", "cum_n")
-    return table.groupBy(*by).agg(F.sum(step).alias(out))
+    return table.groupBy(*by).agg(F.sum(average_precision_step()).alias(out))
 
 
-def _roc_area(n="n", p="p") -> Column:
+def roc_area(n="n", p="p") -> Column:
     """A score's share of the area: its negatives sit below all positives above, ties count half."""
     negatives = (F.col(n) - F.col(p)).cast("double")
     above = (F.col("cum_p") - F.col(p)).cast("double") + F.col(p).cast("double") / 2
@@ -48,7 +52,7 @@ def _roc_area(n="n", p="p") -> Column:
 
 
 def roc_auc_of(table: DataFrame, by: Sequence[str] = (), out: str = "roc_auc") -> DataFrame:
-    return table.groupBy(*by).agg(F.sum(_roc_area()).alias(out))
+    return table.groupBy(*by).agg(F.sum(roc_area()).alias(out))
 
 
 def average_precision(df: DataFrame, score: str, label: str, **options) -> DataFrame:
@@ -62,10 +66,9 @@ def roc_auc(df: DataFrame, score: str, label: str, **options) -> DataFrame:
 def areas(df: DataFrame, score: str, label: str, **options) -> DataFrame:
     """Both areas with the counts, one pass."""
     by = options.get("by", ())
-    step = _ratio("p", "tot_p") * _ratio("cum_p", "cum_n")
     return score_table(df, score, label, **options).groupBy(*by).agg(
         F.max("tot_n").alias("n_rows"), F.max("tot_p").alias("positives"),
-        F.sum(step).alias("average_precision"), F.sum(_roc_area()).alias("roc_auc"))
+        F.sum(average_precision_step()).alias("average_precision"), F.sum(roc_area()).alias("roc_auc"))
 
 
 def precision_recall_sweep(df: DataFrame, score: str, tie: str, label: str,

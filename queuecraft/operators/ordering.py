@@ -10,12 +10,13 @@ the rest of the job.
 
 A missing value (null, or not a number) comes last in either direction; missing rows fill buckets of their own behind
 all others, in the order of their ties. Buckets are chosen by a number that grows with the value (numbers and times as
-doubles, strings by their first bytes); inside a bucket the real columns decide, so long integers, decimals and
+doubles, strings by the first bytes behind their common start); inside a bucket the real columns decide, so long integers, decimals and
 strings rank exactly. A null group is a group like any other.
 """
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -73,11 +74,24 @@ def in_order(df: DataFrame, order_by: str, tie: str, descending: bool = True) ->
     return [missing(df, order_by), value.desc() if descending else value, F.col(tie).asc_nulls_last()]
 
 
-def code(df: DataFrame, column: str) -> Column:
-    """A double that never falls as the value grows."""
+TEXT = ("string", "varchar", "char", "binary")
+
+
+def common_starts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """How many first bytes all values of each text column share: as many as its least and its largest value do."""
+    texts = [c for c in dict.fromkeys(columns) if df.schema[c].dataType.typeName() in TEXT]
+    if not texts:
+        return {}
+    row = df.agg(*[f(F.col(c).cast("binary")).alias(f"{n}{i}") for i, c in enumerate(texts) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    ends = [(bytes(row[f"lo{i}"] or b""), bytes(row[f"hi{i}"] or b"")) for i in range(len(texts))]
+    return {c: len(os.path.commonprefix(pair)) for c, pair in zip(texts, ends)}
+
+
+def code(df: DataFrame, column: str, skip: int = 0) -> Column:
+    """A double that never falls as the value grows. Of texts it reads six bytes, behind ``skip`` bytes that all share."""
     kind = df.schema[column].dataType.typeName()
-    if kind in ("string", "varchar", "char", "binary"):
-        head = F.hex(F.substring(F.col(column).cast("binary"), 1, 6))
+    if kind in TEXT:
+        head = F.hex(F.substring(F.col(column).cast("binary"), skip + 1, 6))
         return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
     if kind in ("date", "timestamp_ntz"):
         return F.col(column).cast("timestamp").cast("double")
@@ -115,7 +129,7 @@ def plan_scores(df: DataFrame, score: str, tie: str, parts: int | None = None) -
 
 
 def _plan(keyed: DataFrame, order_by: str, tied: bool, parts: int | None) -> Buckets:
-    exact = keyed.schema[order_by].dataType.typeName() not in ("string", "varchar", "char", "binary", "decimal")
+    exact = keyed.schema[order_by].dataType.typeName() not in (*TEXT, "decimal")
     return plan_buckets(keyed, KEY, TIE if tied else None, parts, exact)
 
 
@@ -144,10 +158,17 @@ def assign_buckets(df: DataFrame, buckets: Buckets, key: str = KEY, tie: str | N
     return out.withColumn(BUCKET, F.col(BUCKET) * width + share).drop("_share")
 
 
+def bucketed(df: DataFrame, order_by: str, tie: str, descending: bool = True, parts: int | None = None) -> DataFrame:
+    """``df`` with the number of the order bucket each row falls into; it grows along the order."""
+    keyed = _keyed(df, order_by, tie, descending)
+    return assign_buckets(keyed, _plan(keyed, order_by, True, parts), KEY, TIE).drop(KEY, TIE)
+
+
 def _keyed(df: DataFrame, order_by: str, tie: str | None, descending: bool) -> DataFrame:
-    key = code(df, order_by)
+    skip = common_starts(df, [order_by, tie] if tie else [order_by])
+    key = code(df, order_by, skip.get(order_by, 0))
     out = df.withColumn(KEY, F.when(~missing(df, order_by), -key if descending else key))
-    return out.withColumn(TIE, code(df, tie)) if tie else out
+    return out.withColumn(TIE, code(df, tie, skip.get(tie, 0))) if tie else out
 
 
 def grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:

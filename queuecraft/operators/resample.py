@@ -6,14 +6,18 @@ and survive a lost executor.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from queuecraft.operators import metrics, ordering
+from queuecraft.operators import metrics, ordering, triage
+from queuecraft.session import written
 
 SPAN = float(2 ** 32)
 # distribution function of Poisson(1) at 0, 1, 2, ... up to where the rest is below 1e-10
@@ -75,28 +79,156 @@ def poisson_weight(u: Column) -> Column:
     return w.otherwise(len(POISSON_ONE))
 
 
-def bootstrap_scores(df: DataFrame, key: str, score: str, label: str, replicates: int) -> DataFrame:
-    """Average precision of every resample.
+def poisson_weights(keys: Sequence[str | None], replicates: Sequence[int]) -> np.ndarray:
+    """``poisson_weight(uniform(key, replicate))`` as a matrix (key, replicate): the same draws, drawn in a task."""
+    tails = [str(r).encode() for r in replicates]
+    raw = bytearray()
+    for key in keys:
+        head = b"" if key is None else key.encode() + b"|"
+        for tail in tails:
+            raw += hashlib.md5(head + tail).digest()[:4]
+    drawn = np.frombuffer(raw, dtype=">u4").reshape(len(keys), len(tails)).astype(np.uint32)
+    edges = np.array([math.ceil(x * SPAN) for x in POISSON_ONE], dtype=np.float64)
+    return np.searchsorted(edges, drawn, side="right").astype(np.int64)
 
-    Each row draws Poisson(1) weights instead of a joint multinomial draw (the usual bootstrap for data
-    that no single task holds). The draws are narrow; the shuffle carries only one counter per (resample,
-    score), combined on the map side. Resamples without a positive are left out.
+
+AREA = 256              # replicates whose weights a task holds at once
+ROWS = 4_096            # and rows
+METRICS = ("average_precision", "roc_auc", "precision_at_k")
+
+
+def _chunks(ids: Sequence, replicates: int):
+    """(rows, replicates, weights) piece by piece, the rows in order inside each stretch of replicates."""
+    for start in range(1, replicates + 1, AREA):
+        own = range(start, min(start + AREA, replicates + 1))
+        for at in range(0, len(ids), ROWS):
+            yield slice(at, at + ROWS), slice(start - 1, start - 1 + len(own)), poisson_weights(ids[at:at + ROWS], own)
+
+
+def _ties(score: pd.Series) -> np.ndarray:
+    """Whether a row's score differs from the one before it; missing scores are equal."""
+    gone = score.isna().to_numpy()
+    x = score.to_numpy()
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = (gone[1:] != gone[:-1]) | (~gone[1:] & ~gone[:-1] & (x[1:] != x[:-1]))
+    return new
+
+
+def bootstrap_scores(df: DataFrame, key: str, score: str, label: str, replicates: int, share: float = triage.TOP_SHARE) -> DataFrame:
+    """Average precision, ROC area and precision in the top ``share`` of every resample, one row a resample.
+
+    Each row draws Poisson(1) weights instead of a joint multinomial draw (the usual bootstrap for data that no single
+    task holds); a weight depends on key and replicate alone. Rows are cut into buckets in the order of the score, and a
+    task turns its bucket into a matrix of weights (row, replicate). The first pass gives each bucket's totals per
+    replicate, and those of the scores at its two ends, which may go on in the next bucket; they are summed in order. The
+    second pass draws the matrix again and adds up areas and hits behind those sums. The shuffle carries the rows once a
+    pass and a few numbers per (bucket, replicate), never a row per resample. Resamples without a positive are left out;
+    a missing label counts as no positive.
     """
-    draws = df.select(key, score, label).withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    draws = draws.withColumn("_w", poisson_weight(uniform(key, "replicate"))).filter(F.col("_w") > 0)
-    buckets = ordering.plan_buckets(df.select((-F.col(score).cast("double")).alias("_s")), "_s")
-    counted = draws.groupBy("replicate", score).agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col(label)).alias("p"))
-    table = ordering.running_sums(counted, score, {"n": F.col("n"), "p": F.col("p")}, by=["replicate"], buckets=buckets)
-    return metrics.average_precision_of(table, ["replicate"]).filter(F.col("average_precision").isNotNull())
-
-
-def bootstrap_interval(df: DataFrame, key: str, score: str, label: str, replicates: int = 2000, alpha: float = 0.05) -> DataFrame:
-    """Point value and percentile interval. The last step works on one number per resample."""
-    scores = bootstrap_scores(df, key, score, label, replicates)
-    ends = scores.agg(F.count("*").alias("replicates"), F.percentile("average_precision", F.lit(alpha / 2)).alias("low"),
-                      F.percentile("average_precision", F.lit(1 - alpha / 2)).alias("high"), F.lit(1).alias("_one"))
-    point = metrics.average_precision(df, score, label).select(F.col("average_precision").alias("point"), F.lit(1).alias("_one"))
-    return point.join(ends, "_one").drop("_one")
+    cut = ordering.bucketed(df.select(F.col(key), F.col(score).alias("score"), F.coalesce(F.col(label), F.lit(0)).cast("long").alias("label")),
+                            "score", key).withColumn("_id", F.col(key).cast("string"))
+    order = ordering.in_order(cut, "score", key)
+    rows = written(cut.withColumn("_at", F.row_number().over(Window.partitionBy(ordering.BUCKET).orderBy(*order)))
+                   .select(F.col(ordering.BUCKET).alias("bucket"), "_id", "score", "label", "_at"))
+    kind = rows.schema["score"].dataType.simpleString()
+
+    def totals(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_at")
+        new, label_of, ids = _ties(frame["score"]), frame["label"].to_numpy(), frame["_id"].tolist()
+        group = np.cumsum(new) - 1
+        ends = {"": np.ones(len(ids), dtype=bool), "first_": group == 0, "last_": group == group[-1]}
+        sums = {f"{name}{c}": np.zeros(replicates, np.int64) for name in ends for c in "np"}
+        for some, own, weight in _chunks(ids, replicates):
+            for name, inside in ends.items():
+                held = weight * inside[some, None]
+                sums[f"{name}n"][own] += held.sum(0)
+                sums[f"{name}p"][own] += (held * label_of[some, None]).sum(0)
+        value = frame["score"].astype(object).where(frame["score"].notna(), None)
+        return pd.DataFrame({"bucket": [int(frame["bucket"].iloc[0])], "first": [value.iloc[0]], "last": [value.iloc[-1]], "groups": [int(group[-1]) + 1],
+                             **{name: [x.tolist()] for name, x in sums.items()}})
+
+    counted = [f"{name}{c}" for name in ("", "first_", "last_") for c in "np"]
+    found = written(rows.groupBy("bucket").applyInPandas(
+        totals, f"bucket long, first {kind}, last {kind}, groups int, " + ", ".join(f"{c} array<bigint>" for c in counted)))
+    long = found.select("bucket", "first", "last", "groups", F.posexplode(F.arrays_zip(*counted)).alias("_r", "_x")).select(
+        "bucket", "first", "last", "groups", (F.col("_r") + 1).alias("replicate"), *[F.col(f"_x.{c}").alias(c) for c in counted])
+    whole = Window.partitionBy("replicate")
+    before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = written(long.withColumns({
+        **{f"off_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in "np"}, **{f"tot_{c}": F.sum(c).over(whole) for c in "np"}}))
+
+    # scores at the ends of buckets: their rows may lie in several, so they are put together here
+    ends = F.array(F.struct(F.col("first").alias("score"), F.col("first_n").alias("n"), F.col("first_p").alias("p"),
+                            (F.col("off_n") + F.col("first_n")).alias("cum_n"), (F.col("off_p") + F.col("first_p")).alias("cum_p"), F.lit(True).alias("real")),
+                   F.struct(F.col("last").alias("score"), F.col("last_n").alias("n"), F.col("last_p").alias("p"),
+                            (F.col("off_n") + F.col("n")).alias("cum_n"), (F.col("off_p") + F.col("p")).alias("cum_p"), (F.col("groups") > 1).alias("real")))
+    edge = (sums.select("replicate", "tot_n", "tot_p", F.inline(ends)).filter("real").groupBy("replicate", "score", "tot_n", "tot_p")
+            .agg(*[F.sum(c).alias(c) for c in "np"], *[F.max(f"cum_{c}").alias(f"cum_{c}") for c in "np"]))
+    step = metrics.average_precision_step()
+    at_ends = edge.groupBy("replicate").agg(F.sum(step).alias("average_precision"), F.sum(metrics.roc_area()).alias("roc_auc"), F.lit(0.0).alias("hits"))
+
+    offsets = [f"{name}_{c}" for name in ("off", "tot") for c in "np"]
+    shifts = sums.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("replicate", *offsets))).alias("_all")).select(
+        "bucket", *[F.col(f"_all.{c}").alias(c) for c in offsets])
+
+    def areas(frame: pd.DataFrame, shift: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_at")
+        new, label_of, ids = _ties(frame["score"]), frame["label"].to_numpy(), frame["_id"].tolist()
+        group = np.cumsum(new) - 1
+        inner = (group != 0) & (group != group[-1])
+        off_n, off_p, tot_n, tot_p = (np.asarray(shift[c].iloc[0], dtype=np.int64) for c in offsets)
+        k = np.maximum(np.floor(share * tot_n).astype(np.int64), 1)
+        out = {m: np.zeros(replicates) for m in ("average_precision", "roc_auc", "hits")}
+        cum_n, cum_p = off_n.copy(), off_p.copy()
+        open_n, open_p = np.zeros(replicates, np.int64), np.zeros(replicates, np.int64)     # of the score that a chunk's end cuts
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for some, own, weight in _chunks(ids, replicates):
+                hit = weight * label_of[some, None]
+                run_n, run_p = cum_n[own] + np.cumsum(weight, 0), cum_p[own] + np.cumsum(hit, 0)
+                inside = np.clip(k[own] - (run_n - weight), 0, weight)
+                out["hits"][own] += (inside * label_of[some, None]).sum(0)
+                here = group[some]
+                stops = np.flatnonzero(np.append(here[1:] != here[:-1], True))
+                n = np.diff(run_n[stops], axis=0, prepend=cum_n[own][None])
+                p = np.diff(run_p[stops], axis=0, prepend=cum_p[own][None])
+                n[0] += open_n[own]
+                p[0] += open_p[own]
+                goes_on = some.stop < len(group) and group[some.stop] == here[-1]
+                open_n[own], open_p[own] = (n[-1], p[-1]) if goes_on else (0, 0)
+                use = inner[some][stops]
+                use[-1] &= not goes_on
+                n, p, c_n, c_p = n[use], p[use], run_n[stops][use], run_p[stops][use]
+                out["average_precision"][own] += np.where(c_n > 0, p / tot_p[own] * (c_p / np.maximum(c_n, 1)), 0).sum(0)
+                out["roc_auc"][own] += ((n - p) * (c_p - p + p / 2) / (tot_p[own] * (tot_n[own] - tot_p[own])).astype(float)).sum(0)
+                cum_n[own], cum_p[own] = run_n[-1], run_p[-1]
+        return pd.DataFrame({"replicate": np.arange(1, replicates + 1), **{m: np.nan_to_num(x) for m, x in out.items()}})
+
+    inside = rows.groupBy("bucket").cogroup(shifts.groupBy("bucket")).applyInPandas(
+        areas, "replicate int, average_precision double, roc_auc double, hits double")
+    size = sums.groupBy("replicate").agg(F.max("tot_n").alias("_n"), F.max("tot_p").alias("_p"))
+    return (inside.unionByName(at_ends).groupBy("replicate").agg(*[F.sum(m).alias(m) for m in ("average_precision", "roc_auc", "hits")])
+            .join(size, "replicate").filter("_p > 0").select(
+                "replicate", "average_precision", F.when(F.col("_n") > F.col("_p"), F.col("roc_auc")).alias("roc_auc"),
+                (F.col("hits") / F.greatest(F.floor(F.lit(share) * F.col("_n")), F.lit(1))).alias("precision_at_k")))
+
+
+def bootstrap_intervals(df: DataFrame, key: str, score: str, label: str, replicates: int = 2000, alpha: float = 0.05,
+                        share: float = triage.TOP_SHARE, names: Sequence[str] = METRICS) -> DataFrame:
+    """Point value and percentile interval per metric. The last step works on one number per resample and metric."""
+    scores = bootstrap_scores(df, key, score, label, replicates, share)
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])
+    ends = scores.select(F.inline(cells)).filter(F.col("value").isNotNull()).groupBy("metric").agg(
+        F.count("*").alias("replicates"), F.percentile("value", F.lit(alpha / 2)).alias("low"), F.percentile("value", F.lit(1 - alpha / 2)).alias("high"))
+    both = metrics.areas(df, score, label).select("average_precision", "roc_auc", F.lit(1).alias("_one"))
+    top = metrics.at_k(df, score, key, label, share).select(F.col("precision").alias("precision_at_k"), F.lit(1).alias("_one"))
+    points = both.join(top, "_one").select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("point")) for m in names])))
+    return points.join(ends, "metric")
+
+
+def bootstrap_interval(df: DataFrame, key: str, score: str, label: str, replicates: int = 2000, alpha: float = 0.05,
+                       metric: str = "average_precision") -> DataFrame:
+    """Point value and percentile interval of one metric."""
+    return bootstrap_intervals(df, key, score, label, replicates, alpha, names=[metric]).drop("metric")
 
 
 def permute_column(df: DataFrame, key: str, column: str, repeats: int = 1, seed: int = 42) -> DataFrame:

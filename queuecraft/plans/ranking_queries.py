@@ -380,6 +380,31 @@ def bootstrap_ci(spark, sf):
     return rounded(resample.bootstrap_interval(V.imbalanced(spark, sf), "id", "score", "label", REPLICATES))
 
 
+@query("bootstrap_intervals", "WITH " + V.IMBALANCED + f""", draws AS (
+  SELECT rep, id, score, label, {_u('id', 'rep')} AS u FROM imbalanced, range(1, 301) t(rep)), w AS (
+  SELECT rep, id, score, label, CASE """ + " ".join(
+    f"WHEN u < {x!r}::DOUBLE THEN {i}" for i, x in enumerate(resample.POISSON_ONE)) + f""" ELSE {len(resample.POISSON_ONE)} END AS w FROM draws), g AS (
+  SELECT rep, score, sum(w)::DOUBLE AS n, sum(w * label)::DOUBLE AS p FROM w GROUP BY rep, score), c AS (
+  SELECT rep, n, p, sum(n) OVER o AS cum_n, sum(p) OVER o AS cum_p, sum(p) OVER (PARTITION BY rep) AS tot_p, sum(n) OVER (PARTITION BY rep) AS tot_n
+  FROM g WINDOW o AS (PARTITION BY rep ORDER BY score DESC ROWS UNBOUNDED PRECEDING)), areas AS (
+  SELECT rep, sum(CASE WHEN cum_n > 0 THEN (p / tot_p) * (cum_p / cum_n) ELSE 0 END) AS ap,
+         sum((n - p) * (cum_p - p / 2)) / (max(tot_p) * (max(tot_n) - max(tot_p))) AS auc FROM c WHERE tot_p > 0 GROUP BY rep), placed AS (
+  SELECT rep, label, w, sum(w) OVER (PARTITION BY rep ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING) AS upto,
+         greatest(1, floor(0.05::DOUBLE * sum(w) OVER (PARTITION BY rep))) AS k FROM w), tops AS (
+  SELECT rep, sum(label * greatest(0, least(w, k - (upto - w))))::DOUBLE / max(k) AS prec FROM placed GROUP BY rep), long AS (
+  SELECT 'average_precision' AS metric, ap AS v FROM areas UNION ALL SELECT 'roc_auc', auc FROM areas
+  UNION ALL SELECT 'precision_at_k', prec FROM tops JOIN areas USING (rep)), """ + V.SCORE_TABLE + """, ranks AS (
+  SELECT label, row_number() OVER (ORDER BY score DESC, id) AS r, greatest(1, floor(0.05::DOUBLE * count(*) OVER ())) AS k FROM imbalanced), points AS (
+  SELECT 'average_precision' AS metric, sum((p / tot_p) * (cum_p / cum_n)) AS point FROM score_table
+  UNION ALL SELECT 'roc_auc', sum((n - p) * (cum_p - p + p / 2)) / (max(tot_p) * (max(tot_n) - max(tot_p))) FROM score_table
+  UNION ALL SELECT 'precision_at_k', sum(label) FILTER (WHERE r <= k) / max(k) FROM ranks)
+SELECT metric, round(any_value(point), 6) AS point, count(*) AS replicates, round(quantile_cont(v, 0.025), 6) AS low, round(quantile_cont(v, 0.975), 6) AS high
+FROM long JOIN points USING (metric) WHERE v IS NOT NULL GROUP BY metric""")
+def bootstrap_intervals(spark, sf):
+    """Average precision, ROC area and precision in the top share, from the same 300 resamples."""
+    return rounded(resample.bootstrap_intervals(V.imbalanced(spark, sf), "id", "score", "label", 300))
+
+
 @query("permute_column", "WITH " + V.SCORED + f""", t AS (
   SELECT id, rep, row_number() OVER (PARTITION BY rep ORDER BY id) AS r FROM scored, range(1, 3) x(rep)), s AS (
   SELECT score, rep, row_number() OVER (PARTITION BY rep ORDER BY {_u('id', '42', 'rep')}, id) AS r FROM scored, range(1, 3) x(rep))
