@@ -84,7 +84,7 @@ def knn_all(spark, sf):
     e = V.table(spark, sf, "embeddings").withColumnRenamed("embedding", "vector")
     queries = e.select(F.col("vec_id").alias("query_id"), "vector")
     passages = e.select(F.col("vec_id").alias("passage_id"), "vector")
-    near = similarity.knn_blocks(queries, passages, 6).filter(F.col("query_id") != F.col("passage_id"))
+    near = similarity.knn(queries, passages, 6).filter(F.col("query_id") != F.col("passage_id"))
     return rounded(similarity.top_k(near.drop("rank"), 5))
 
 

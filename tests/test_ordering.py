@@ -284,3 +284,20 @@ def test_season_summary_ignores_withheld_groups(spark):
     df = spark.createDataFrame(rows, "g int, positive_rate double, average_precision double")
     got = seasonality.summary(df, "g").first()
     assert (got["n_groups"], got["n_scored"], got["best_group"], got["worst_group"]) == (3, 2, 3, 1)
+
+
+@pytest.mark.parametrize("start", ["claim-", "C", ""])
+def test_text_keys_with_a_common_start_spread_over_all_buckets(spark, start):
+    ids = spark.range(100_000).select(F.concat(F.lit(start), F.lpad(F.col("id").cast("string"), 9, "0")).alias("key"), F.lit(1.0).alias("score"))
+    for keyed in (ordering.bucketed(ids, "key", "key"), ordering.bucketed(ids, "score", "key")):
+        sizes = [r["count"] for r in keyed.groupBy(ordering.BUCKET).count().collect()]
+        assert len(sizes) >= ordering.default_parts(ids) - 1 and max(sizes) <= 3 * 100_000 / len(sizes)
+    ranked = {r["key"]: r["rank"] for r in ordering.with_rank(ids, "score", "key").filter("rank % 9973 = 0").collect()}
+    assert ranked and all(int(key[len(start):]) == rank - 1 for key, rank in ranked.items())
+
+
+def test_text_keys_of_no_or_one_value(spark):
+    df = spark.createDataFrame([("same", 1), ("same", 2), (None, 3), ("same", 4)], "key string, id int")
+    got = sorted(r["rank"] for r in ordering.with_rank(df, "key", "id").collect())
+    assert got == [1, 2, 3, 4] and ordering.with_rank(df.limit(0), "key", "id").count() == 0
+    assert ordering.common_starts(df, ["key", "id"]) == {"key": 4}

@@ -100,7 +100,7 @@ def test_nearest_is_exact_on_both_paths(spark):
     queries = spark.createDataFrame(as_rows(q, 0), "query_id long, vector array<double>")
     d = ((q[:, None, :] - p[None, :, :]) ** 2).sum(-1)
     want = {(i, r + 1): 1000 + j for i in range(40) for r, j in enumerate(sorted(range(300), key=lambda j: (round(d[i, j], 12), j))[:5])}
-    for found in (similarity.knn(queries, passages), similarity.knn_blocks(queries, passages, 5)):
+    for found in (similarity.knn(queries, passages), similarity.knn(queries, passages, 5)):
         assert {(r["query_id"], r["rank"]): r["passage_id"] for r in found.collect()} == want
 
 
@@ -110,7 +110,7 @@ def test_blocks_cut_both_sides(spark, monkeypatch):
     rows = [(i, [float(i * i % 97), float(i % 13)]) for i in range(60)]
     q = spark.createDataFrame(rows, "query_id long, vector array<double>")
     p = spark.createDataFrame(rows, "passage_id long, vector array<double>")
-    got = {(r["query_id"], r["rank"]): r["passage_id"] for r in similarity.knn_blocks(q, p, 3).collect()}
+    got = {(r["query_id"], r["rank"]): r["passage_id"] for r in similarity.knn(q, p, 3).collect()}
     for i, a in rows:
         best = sorted(rows, key=lambda r: ((r[1][0] - a[0]) ** 2 + (r[1][1] - a[1]) ** 2, r[0]))[:3]
         assert [got[(i, k)] for k in (1, 2, 3)] == [b[0] for b in best]
