@@ -17,6 +17,7 @@ from queuecraft.plans import views as V
 from queuecraft.plans.registry import query, rounded
 from queuecraft.session import scratch_path, staged
 from queuecraft.sources import artifacts
+from queuecraft.streaming import scoring
 
 LABEL = "FraudFound_P"
 KEY = "PolicyNumber"
@@ -244,6 +245,15 @@ def score_batch(spark, sf):
     return artifacts.score_claims(V.claims(spark, sf), artifacts.load(spark, folder), KEY).select(KEY, "score", "bucket")
 
 
+@query("stream_score_claims")
+def stream_score_claims(spark, sf):
+    """The same scorer, published as a version, on a stream of the raw claims."""
+    folder = scratch_path(spark, "scorers")
+    scoring.publish(fitted_artifacts(spark, sf), spark, folder)
+    orders = spark.readStream.schema(V.table(spark, sf, "orders").schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+    return scoring.score_stream(V.claims_of(orders), folder, KEY)
+
+
 @query("tree_contributions")
 def tree_contributions(spark, sf):
     """Contributions of a boosted ensemble for every claim; its five strongest, and the additivity gap."""

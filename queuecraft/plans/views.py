@@ -116,8 +116,12 @@ def _claim_columns() -> list[tuple[str, str, str]]:
     return [(name, s, duck) for name, (s, duck) in cols.items()]
 
 
+def claims_of(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*[f"{s} AS {name}" for name, s, _ in _claim_columns()])
+
+
 def claims(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr(*[f"{s} AS {name}" for name, s, _ in _claim_columns()])
+    return claims_of(table(spark, sf, "orders"))
 
 
 CLAIMS = "claims AS (SELECT " + ",\n  ".join(f"{d} AS {name}" for name, _, d in _claim_columns()) + "\n  FROM orders)"

@@ -29,8 +29,9 @@ def run_to_end(stream: DataFrame, purpose: str, *, mode: str = "append") -> Data
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_each_batch(stream: DataFrame, purpose: str, handle: Callable[[DataFrame, int], None], *, mode: str = "append") -> None:
-    marks = scratch_path(stream.sparkSession, f"{purpose}-marks")
+def run_each_batch(stream: DataFrame, purpose: str, handle: Callable[[DataFrame, int], None], *, mode: str = "append",
+                   marks: str | None = None) -> None:
+    marks = marks or scratch_path(stream.sparkSession, f"{purpose}-marks")
     query = (stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", marks)
              .trigger(availableNow=True).start())
     query.awaitTermination()
