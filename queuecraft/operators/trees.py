@@ -50,8 +50,46 @@ def _leaf_table(value: float, shares: list[float]) -> np.ndarray:
     return table
 
 
-def leaf_tables(nodes: pd.DataFrame, weights: list[float]) -> tuple[list, float]:
-    """Per leaf its conditions per feature and its table; and the ensemble's expected margin."""
+def _background_table(value: float, share: np.ndarray) -> np.ndarray:
+    """The same against a background: ``share`` is the weight of background rows by the pattern of conditions they meet.
+
+    A leaf is reached by a mix of row and background row if each condition is met by the one the feature is taken from. Of
+    m conditions that only the row meets and n that only the background row meets, a feature of the first kind gets
+    (m-1)! n! / (m+n)! of the value, one of the second kind loses m! (n-1)! / (m+n)!.
+    """
+    m = len(share).bit_length() - 1
+    table = np.zeros((len(share), m))
+    for pattern in range(len(share)):
+        for other in np.flatnonzero(share):
+            other = int(other)
+            if pattern | other != len(share) - 1 or pattern == other:
+                continue
+            mine, theirs = pattern & ~other, other & ~pattern
+            a, b = mine.bit_count(), theirs.bit_count()
+            for j in range(m):
+                if mine >> j & 1:
+                    table[pattern, j] += share[other] * value * math.factorial(a - 1) * math.factorial(b) / math.factorial(a + b)
+                elif theirs >> j & 1:
+                    table[pattern, j] -= share[other] * value * math.factorial(a) * math.factorial(b - 1) / math.factorial(a + b)
+    return table
+
+
+def patterns_of(rows: np.ndarray, features: list[int], tests: list) -> np.ndarray:
+    """Which of a leaf's conditions each row meets, a bit per feature."""
+    pattern = np.zeros(len(rows), dtype=np.int64)
+    for i, (f, conditions) in enumerate(zip(features, tests)):
+        met = np.ones(len(rows), dtype=bool)
+        for cut, low in conditions:
+            met &= (rows[:, f] <= cut) if low else (rows[:, f] > cut)
+        pattern |= met.astype(np.int64) << i
+    return pattern
+
+
+def leaf_tables(nodes: pd.DataFrame, weights: list[float], background: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[list, float]:
+    """Per leaf its conditions per feature and its table; and the ensemble's expected margin.
+
+    Without ``background`` (rows, weights) what is expected of an unknown feature follows the trees' own row counts.
+    """
     leaves, base = [], 0.0
     for tree, part in nodes.groupby("treeID"):
         by_id = {r.id: r for r in part.itertuples()}
@@ -60,12 +98,17 @@ def leaf_tables(nodes: pd.DataFrame, weights: list[float]) -> tuple[list, float]
             node, path = stack.pop()
             if node.left < 0:
                 value = node.value * weights[tree]
-                base += value * node.cover / by_id[0].cover
                 features = sorted({f for f, _, _, _ in path})
+                tests = [[(c, low) for f, c, low, _ in path if f == g] for g in features]
+                if background is None:
+                    base += value * node.cover / by_id[0].cover
+                    table = _leaf_table(value, [math.prod(s for f, _, _, s in path if f == g) for g in features])
+                else:
+                    share = np.bincount(patterns_of(background[0], features, tests), background[1], 2 ** len(features)) / background[1].sum()
+                    base += value * share[-1]
+                    table = _background_table(value, share)
                 if features:
-                    shares = [math.prod(s for f, _, _, s in path if f == g) for g in features]
-                    tests = [[(c, low) for f, c, low, _ in path if f == g] for g in features]
-                    leaves.append((features, tests, _leaf_table(value, shares)))
+                    leaves.append((features, tests, table))
                 continue
             cut = float(node.cut[0])
             for child, low in ((by_id[node.left], True), (by_id[node.right], False)):
@@ -76,22 +119,37 @@ def leaf_tables(nodes: pd.DataFrame, weights: list[float]) -> tuple[list, float]
 def contributions_of(rows: np.ndarray, leaves: list) -> np.ndarray:
     out = np.zeros_like(rows, dtype=np.float64)
     for features, tests, table in leaves:
-        pattern = np.zeros(len(rows), dtype=np.int64)
-        for i, (f, conditions) in enumerate(zip(features, tests)):
-            met = np.ones(len(rows), dtype=bool)
-            for cut, low in conditions:
-                met &= (rows[:, f] <= cut) if low else (rows[:, f] > cut)
-            pattern |= met.astype(np.int64) << i
-        values = table[pattern]
+        values = table[patterns_of(rows, features, tests)]
         for i, f in enumerate(features):
             out[:, f] += values[:, i]
     return out
 
 
-def tree_contributions(df: DataFrame, path: str, key: str, features: str = "features") -> DataFrame:
-    """(key, base, values, phis) of a boosted ensemble saved at ``path``; base + sum(phis) is the log-odds."""
+BACKGROUND = 100        # rows that stand for all others in contributions against a background
+
+
+def background_of(df: DataFrame, key: str, features: str = "features", weight: str | None = None, size: int = BACKGROUND) -> tuple[np.ndarray, np.ndarray]:
+    """A bounded sample of rows by a hash of the key, with their weights."""
+    one = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    rows = df.select(vector_to_array(features).alias("x"), one.alias("w"), F.xxhash64(key).alias("_h"), key).orderBy("_h", key).limit(size).collect()
+    return np.array([r["x"] for r in rows]), np.array([r["w"] for r in rows])
+
+
+def additivity(contributions: DataFrame, scored: DataFrame, key: str) -> DataFrame:
+    """Contributions with the model's own log-odds and how far base and contributions together miss them."""
+    own = scored.select(key, (MARGIN_TO_LOG_ODDS * vector_to_array("rawPrediction")[1]).alias("log_odds"))
+    total = F.col("base") + F.aggregate("phis", F.lit(0.0), lambda a, x: a + x)
+    return contributions.join(own, key).withColumn("gap", F.abs(total - F.col("log_odds")))
+
+
+def tree_contributions(df: DataFrame, path: str, key: str, features: str = "features",
+                       background: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """(key, base, values, phis) of a boosted ensemble saved at ``path``; base + sum(phis) is the log-odds.
+
+    With ``background`` an unknown feature is taken from the background rows instead of from the trees' row counts.
+    """
     spark = df.sparkSession
-    leaves, base = leaf_tables(*saved_nodes(spark, path))
+    leaves, base = leaf_tables(*saved_nodes(spark, path), background)
     model = spark.sparkContext.broadcast(leaves)
     start = base * MARGIN_TO_LOG_ODDS
 

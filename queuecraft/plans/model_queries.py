@@ -6,8 +6,10 @@ everything derived from it has one.
 
 from __future__ import annotations
 
+import json
 from functools import partial, reduce
 
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from queuecraft.operators import explain, learn, metrics, prep, resample, trees,
 from queuecraft.plans import views as V
 from queuecraft.plans.registry import query, rounded
 from queuecraft.session import scratch_path, staged
-from queuecraft.sources import artifacts
+from queuecraft.sources import artifacts, sinks
 from queuecraft.streaming import scoring
 
 LABEL = "FraudFound_P"
@@ -126,14 +128,14 @@ def train_gbt(spark, sf):
     """Boosted trees stopped on an inner holdout of the training rows, so validation stays unseen."""
     _, vectors = _vectors(spark, sf)
     train = _part(vectors, "train").withColumn("holdout", resample.uniform(KEY, F.lit("holdout")) < 0.15)
-    model = learn.boosted(holdout="holdout", maxIter=15, maxDepth=3).fit(train)
+    model = learn.boosted(holdout="holdout", maxIter=200, validationTol=0.001).fit(train)
     return metrics.areas(_held_out(model, vectors), "score", LABEL, by=["split"])
 
 
 @query("tree_importance")
 def tree_importance(spark, sf):
     ready, vectors = _vectors(spark, sf)
-    model = learn.boosted(maxIter=5, maxDepth=3).fit(_part(vectors, "train"))
+    model = learn.boosted().fit(_part(vectors, "train"))
     return spark.createDataFrame(learn.tree_importance(model, ready.feature_names), "feature string, importance double")
 
 
@@ -146,21 +148,28 @@ def _oof(rows, families, numeric, categorical, k):
     return learn.folds_scored(rows, KEY, LABEL, "fold", k, families, numeric, categorical)
 
 
-FOLDS = 5
-_SMALL_GBT = partial(learn.boosted, maxIter=5, maxDepth=3)
-_SMALL_FOREST = partial(learn.forest, numTrees=8, maxDepth=4)
-_QUICK_LR = partial(learn.logistic, maxIter=10, regParam=0.01)
+FOLDS, REPEATS = 5, 2
+_GBT, _FOREST, _MARGIN = learn.boosted, learn.forest, learn.margin_machine
+_LR = partial(learn.logistic, regParam=0.01)
+
+
+def _repeated(spark, sf, scored):
+    """The folds dealt twice; ``scored`` turns folded rows into scores."""
+    wide = staged(claim_features.engineer(claim_features.impute_age(V.claims(spark, sf))))
+    parts = [scored(staged(resample.stratified_folds(wide, KEY, LABEL, FOLDS, seed=42 + i))).withColumn("fold", F.col("fold") + i * FOLDS)
+             for i in range(REPEATS)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("oof_scores")
 def oof_scores(spark, sf):
     """Every claim scored by the model that did not see it."""
-    return _oof(_folded(spark, sf, FOLDS), {"logistic": _QUICK_LR}, NUMERIC, CATEGORICAL, FOLDS)
+    return _oof(_folded(spark, sf, FOLDS), {"logistic": _LR}, NUMERIC, CATEGORICAL, FOLDS)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    scored = _oof(_folded(spark, sf, FOLDS), {"boosted": _SMALL_GBT}, NUMERIC, CATEGORICAL, FOLDS)
+    scored = _oof(_folded(spark, sf, FOLDS), {"boosted": _GBT}, NUMERIC, CATEGORICAL, FOLDS)
     return metrics.fold_summary(learn.fold_scores(scored, LABEL, ["fold"]), "fold", "average_precision")
 
 
@@ -173,34 +182,57 @@ def _compared(scored, baseline):
 @query("bakeoff")
 def bakeoff(spark, sf):
     """Model families on the same folds, compared with the logistic baseline."""
-    families = {"logistic": _QUICK_LR, "boosted": _SMALL_GBT, "forest": _SMALL_FOREST, "margin": partial(learn.margin_machine, maxIter=5)}
-    return _compared(_oof(_folded(spark, sf, FOLDS), families, NUMERIC, CATEGORICAL, FOLDS), "logistic")
+    families = {"logistic": _LR, "boosted": _GBT, "forest": _FOREST, "margin": _MARGIN}
+    return _compared(_repeated(spark, sf, lambda rows: _oof(rows, families, NUMERIC, CATEGORICAL, FOLDS)), "logistic")
 
 
 @query("ablation")
 def ablation(spark, sf):
-    """Raw columns, engineered columns, and both, on the same folds; gain over raw."""
-    rows = _folded(spark, sf, FOLDS)
-    arms = {"raw": (RAW_NUMERIC, RAW_CATEGORICAL), "engineered": (NUMERIC, CATEGORICAL),
-            "both": (sorted({*RAW_NUMERIC, *NUMERIC}), RAW_CATEGORICAL)}
-    parts = [_oof(rows, {name: _QUICK_LR}, n, c, FOLDS) for name, (n, c) in arms.items()]
-    return _compared(reduce(DataFrame.unionByName, parts), "raw")
+    """Raw columns, engineered columns, both, and of both those that the model uses, on the same folds; gain over raw."""
+    both = (sorted({*RAW_NUMERIC, *NUMERIC}), RAW_CATEGORICAL)
+    arms = {"raw": (RAW_NUMERIC, RAW_CATEGORICAL), "engineered": (NUMERIC, CATEGORICAL), "both": both}
+
+    def scored(rows):
+        parts = [_oof(rows, {name: _LR}, n, c, FOLDS) for name, (n, c) in arms.items()]
+        pruned = learn.pruned_folds_scored(rows, KEY, LABEL, "fold", FOLDS, _LR, *both, floor=0.01)
+        return reduce(DataFrame.unionByName, [*parts, pruned.drop("n_features")])
+
+    return _compared(_repeated(spark, sf, scored), "raw")
+
+
+N_TRIALS, TUNE_FOLDS, BUDGETS = 20, 3, (5, 10, 20)
+
+
+def _searched(vectors):
+    train = staged(resample.stratified_folds(_part(vectors, "train"), KEY, LABEL, TUNE_FOLDS))
+    estimator = learn.boosted()
+    ranges = {"maxDepth": (2, 4), "stepSize": (0.05, 0.3), "subsamplingRate": (0.6, 1.0), "minInstancesPerNode": (1, 20)}
+    return learn.halve(train, estimator, learn.random_trials(estimator, ranges, N_TRIALS), "fold", TUNE_FOLDS, BUDGETS)
 
 
 @query("tune_gbt")
 def tune_gbt(spark, sf):
+    """Twenty points, three folds, three rungs of growing ensembles."""
+    return _searched(_vectors(spark, sf)[1])
+
+
+@query("tuned_scores")
+def tuned_scores(spark, sf):
+    """The best parameters written, read back, fitted on training and validation rows, and measured on the test rows."""
     _, vectors = _vectors(spark, sf)
-    train = resample.stratified_folds(_part(vectors, "train"), KEY, LABEL, 2)
-    estimator = learn.boosted(maxIter=3, maxDepth=2)
-    trials = learn.random_trials(estimator, {"maxDepth": (2, 4), "stepSize": (0.05, 0.3), "subsamplingRate": (0.6, 1.0)}, 3)
-    return learn.tune(staged(train), estimator, trials, "fold", 2)
+    path = scratch_path(spark, "best-params")
+    sinks.write_json(spark.createDataFrame([(json.dumps(learn.best_params(_searched(vectors))),)], "params string"), path)
+    best = json.loads(spark.read.json(path).first()["params"])
+    model = learn.with_params(learn.boosted(), best).fit(vectors.filter(F.col("split") != "test"))
+    held = learn.score_with(model, _part(vectors, "test"), [KEY, "split", LABEL])
+    return metrics.areas(held, "score", LABEL, by=["split"])
 
 
 @query("oof_stack")
 def oof_stack(spark, sf):
     """Meta-model fitted on out-of-fold scores of the training rows, applied to held-out rows that the base models, fitted
     on all training rows, have not seen either."""
-    families = {"logistic": _QUICK_LR, "boosted": _SMALL_GBT}
+    families = {"logistic": _LR, "boosted": _GBT}
     train = staged(resample.stratified_folds(_part(_claims(spark, sf), "train"), KEY, LABEL, FOLDS))
     scored = _oof(train, families, NUMERIC, CATEGORICAL, FOLDS)
     model, _ = learn.stack([scored.filter(F.col("model") == name) for name in families], KEY, LABEL)
@@ -212,7 +244,7 @@ def oof_stack(spark, sf):
 def _calibration(spark, sf, how):
     """Model on train, calibration on validation, report on test."""
     _, vectors = _vectors(spark, sf)
-    model = _QUICK_LR().fit(_part(vectors, "train"))
+    model = _LR().fit(_part(vectors, "train"))
     scored = staged(_held_out(model, vectors))
     apply = how(_part(scored, "val"), "score", LABEL)
     return apply(_part(scored, "test")).select(KEY, LABEL, "score", "calibrated")
@@ -231,10 +263,12 @@ def calibrate_sigmoid(spark, sf):
 def fitted_artifacts(spark, sf) -> artifacts.Artifacts:
     """A small logistic scorer with thresholds from its validation scores."""
     ready, vectors = _vectors(spark, sf)
-    model = _QUICK_LR().fit(_part(vectors, "train"))
+    model = _LR().fit(_part(vectors, "train"))
     val = learn.score_with(model, _part(vectors, "val"), [KEY])
     cuts = triage.thresholds(val, "score", KEY).first()
-    return artifacts.Artifacts(model, ready, artifacts.Bundle(cuts["top_threshold"], cuts["mid_threshold"], age_imputation=True))
+    means = _part(vectors, "train").select(Summarizer.mean(F.col("features")).alias("m")).first()["m"]
+    return artifacts.Artifacts(model, ready, artifacts.Bundle(cuts["top_threshold"], cuts["mid_threshold"], age_imputation=True,
+                                                              feature_means=[float(x) for x in means.toArray()]))
 
 
 @query("score_batch")
@@ -254,13 +288,32 @@ def stream_score_claims(spark, sf):
     return scoring.score_stream(V.claims_of(orders), folder, KEY)
 
 
-@query("tree_contributions")
-def tree_contributions(spark, sf):
-    """Contributions of a boosted ensemble for every claim; its five strongest, and the additivity gap."""
+def _ensemble(spark, sf):
     ready, vectors = _vectors(spark, sf)
-    model = learn.boosted(maxIter=5, maxDepth=3).fit(_part(vectors, "train"))
+    model = learn.boosted().fit(_part(vectors, "train"))
     path = scratch_path(spark, "ensemble")
     model.write().overwrite().save(path)
+    return ready, model, vectors, path
+
+
+@query("tree_additivity", _WC + """
+SELECT unnest(['background', 'path']) AS method, count(*) AS n_rows, 0::BIGINT AS n_gaps FROM claims""")
+def tree_additivity(spark, sf):
+    """Claims whose base and contributions miss the model's own log-odds, by the trees' row counts and against a
+    background of training rows: there must be none."""
+    _, model, vectors, path = _ensemble(spark, sf)
+    some = trees.background_of(_part(vectors, "train"), KEY, weight="weight")
+    scored = model.transform(vectors)
+    parts = [trees.additivity(trees.tree_contributions(vectors, path, KEY, background=b), scored, KEY).agg(
+        F.count("*").alias("n_rows"), F.count(F.when(~(F.col("gap") < 1e-9), 1)).alias("n_gaps")).withColumn("method", F.lit(name))
+        for name, b in (("path", None), ("background", some))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("tree_contributions")
+def tree_contributions(spark, sf):
+    """Contributions of a boosted ensemble for every claim; its five strongest, and the additivity gap."""
+    ready, model, vectors, path = _ensemble(spark, sf)
     phis = trees.tree_contributions(vectors, path, KEY)
     named = phis.withColumn("contributions", explain.named_contributions(F.col("values"), F.col("phis"), ready.feature_names))
     total = F.col("base") + F.aggregate("phis", F.lit(0.0), lambda a, x: a + x)

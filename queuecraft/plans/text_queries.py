@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queuecraft.operators import briefs, chunking, embed, retrieval, similarity, triage
+from queuecraft.operators import briefs, chunking, embed, explain, retrieval, similarity, triage
+from queuecraft.plans import model_queries
 from queuecraft.plans import views as V
 from queuecraft.plans.registry import query, rounded
+from queuecraft.session import staged
+from queuecraft.sources import artifacts
 
 # the documents hold no headings or blank lines: their lines serve as paragraphs, "\\n" + capital E as section mark
 LINE = "\n"
@@ -234,9 +237,13 @@ def tfidf_vectors(spark, sf):
 
 @query("briefs_for_all_claims")
 def briefs_for_all_claims(spark, sf):
-    """Query text, nearest passages, brief and citation check for every claim, in one job."""
-    passages = _guidelines(spark, sf)
+    """Score, queue and reasons from the fitted scorer, then query text, nearest passages, brief and citation check for
+    every claim."""
+    passages = staged(_guidelines(spark, sf))
     model = embed.fit_tfidf(passages)
-    bucket = F.when(F.col("Age") > 60, triage.TOP).when(F.col("Age") > 40, triage.MIDDLE).otherwise(triage.REST)
-    out = retrieval.write_briefs(V.claims(spark, sf), passages, model, _fields(SHOWN), F.col("Age") / 100, bucket, _reasons())
+    art = model_queries.fitted_artifacts(spark, sf)
+    scored = artifacts.explain_claims(V.claims(spark, sf), art, model_queries.KEY, SHOWN)
+    reasons = explain.reasons_array(F.col("contributions"), art.preprocessor.categorical, 3)
+    rows = staged(scored.withColumn("reasons", reasons).drop("contributions"))
+    out = retrieval.write_briefs(rows, passages, model, _fields(SHOWN), F.col("score"), F.col("bucket"), F.col("reasons"))
     return out.select("PolicyNumber", "query_text", "brief", F.size("passages").alias("n_passages"), F.col("check.ok").alias("citations_ok"))

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuecraft.functions import features as claim_features
-from queuecraft.operators import learn, prep, triage
+from queuecraft.operators import explain, learn, prep, triage
 
 
 class MissingArtifact(FileNotFoundError):
@@ -27,6 +28,7 @@ class Bundle:
     age_imputation: bool = False
     selected_features: list[str] | None = None
     metrics: dict = field(default_factory=dict)
+    feature_means: list[float] | None = None        # of the consumed features, where explanations start from
 
 
 @dataclass
@@ -71,7 +73,10 @@ def score_claims(claims: DataFrame, art: Artifacts, key: str, keep: list[str] |
 
     The one path for batch and stream, so the two cannot drift apart. Narrow from end to end.
     """
-    kept = [key, *(keep or [])]
+    return _scored(claims, art, [key, *(keep or [])]).drop("features")
+
+
+def _scored(claims: DataFrame, art: Artifacts, kept: list[str]) -> DataFrame:
     rows = claim_features.impute_age(claims) if art.bundle.age_imputation else claims
     wide = claim_features.engineer(rows)
     have = set(wide.columns)
@@ -84,3 +89,24 @@ def score_claims(claims: DataFrame, art: Artifacts, key: str, keep: list[str] |
     return triage.threshold_cut(scored, "score", art.bundle.top_threshold, art.bundle.mid_threshold)
 
 
+def explain_claims(claims: DataFrame, art: Artifacts, key: str, keep: list[str] | None = None) -> DataFrame:
+    """As ``score_claims`` with the contributions of the features a linear scorer consumed: array of (feature, value, phi).
+
+    A contribution is the weight times what sets the encoded value apart from the feature's mean in training; the value
+    shown is the one before scaling. Narrow from end to end.
+    """
+    weights = getattr(art.model, "coefficients", None)
+    if weights is None:
+        raise ValueError("contributions of this kind need a linear scorer; see trees.tree_contributions")
+    if art.bundle.feature_means is None:
+        raise MissingArtifact("feature means")
+    names = art.consumed_features
+    moments = [art.preprocessor.moments.get(n, [0.0, 1.0]) for n in names]
+    numbers = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    x = vector_to_array("features")
+    phis = F.zip_with(F.zip_with(x, numbers(art.bundle.feature_means), lambda v, m: v - m), numbers(weights.toArray()), lambda g, w: g * w)
+    shown = F.zip_with(F.zip_with(x, numbers(s for _, s in moments), lambda v, s: v * s), numbers(m for m, _ in moments), lambda v, m: v + m)
+    scored = _scored(claims, art, [key, *(keep or [])])
+    return scored.withColumn("contributions", explain.named_contributions(shown, phis, names)).drop("features")
+
+

@@ -129,6 +129,30 @@ def test_tree_contributions_are_shapley_values(boosted):
         assert r["phis"] == pytest.approx(want, abs=1e-9)
 
 
+def test_contributions_against_a_background_are_shapley_values(boosted):
+    """Against the definition: each feature subset from the row, the others from every background row in turn."""
+    model, ready, path = boosted
+    some = trees.background_of(ready.filter("id % 7 = 0"), "id", size=15)
+    some = (some[0], np.arange(1.0, 16.0))
+    nodes, weights = trees.saved_nodes(ready.sparkSession, path)
+    by_tree = {t: {r.id: r for r in part.itertuples()} for t, part in nodes.groupby("treeID")}
+
+    def reached(tree, x):
+        node = tree[0]
+        while node.left >= 0:
+            node = tree[node.left if x[node.feature] <= node.cut[0] else node.right]
+        return node.value
+
+    margin = lambda x: 2 * sum(weights[t] * reached(tree, x) for t, tree in by_tree.items())
+    mixed = lambda x, known: np.average([margin([x[f] if f in known else z[f] for f in (0, 1)]) for z in some[0]], weights=some[1])
+    got = trees.tree_contributions(ready, path, "id", background=some)
+    for r in got.filter("id < 12").collect():
+        x = r["values"]
+        want = [0.5 * (mixed(x, {f}) - mixed(x, set())) + 0.5 * (mixed(x, {0, 1}) - mixed(x, {1 - f})) for f in (0, 1)]
+        assert r["phis"] == pytest.approx(want, abs=1e-9) and r["base"] == pytest.approx(mixed(x, set()))
+    assert trees.additivity(got, model.transform(ready), "id").agg(F.max("gap")).first()[0] < 1e-9
+
+
 def test_artifacts_round_trip_and_missing_parts(spark, rows):
     ready = prep.Preprocessor.fit(rows, ["x", "y"], ["c"])
     vectors = ready.transform(rows, ["id", "label"], features=["y", "x"], vector="features").withColumn("label", F.col("label").cast("double"))
