@@ -18,6 +18,7 @@ from queuecraft.llm.registry import query
 CONSTANT = 0.6          # share of a host's unlike pages with the same text in the same node, from which on it is template
 PAGES = 5               # unlike pages that must have the node before that is asked
 LINKS = 0.5             # share of a block's characters inside links from which on it is a menu, outside articles
+SENT = 32 << 20         # bytes of wrappers up to which they go to every task; beyond it they meet the pages by a shuffle
 HOT = 1000              # hosts with more than one HOT-th of all pages are dealt over several tasks
 DEEP = 100_000          # Python frames that pages of deep nesting may take
 CACHED = 100_000        # a worker's table of tree shapes is emptied beyond this
@@ -443,6 +444,9 @@ def extract(pages: DataFrame) -> DataFrame:
     share = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("copies", F.lit(1))).cast("int")
 
     def joined(right: DataFrame, how: str) -> DataFrame:
+        texts = F.size("constant") * 12 if "constant" in right.columns else F.lit(0)
+        if (right.agg(F.sum(F.octet_length("host") + F.octet_length("shape") + texts)).first()[0] or 0) <= SENT:
+            return rows.join(F.broadcast(right), "host", how)
         dealt = (right.join(hot, "host", "left").withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)))
                  .drop("copies"))
         return rows.join(hot, "host", "left").withColumn("share", share).drop("copies").join(dealt, ["host", "share"], how)

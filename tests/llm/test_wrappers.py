@@ -85,6 +85,7 @@ def test_constant_nodes_are_template(spark):
 
 
 def test_hot_host_over_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "SENT", 0)
     monkeypatch.setattr(wrappers, "HOT", 4)
     rows = [*site(40), *[(1000 + i, f"http://h{i % 7}.example.net/", page(f"<p>{invented(i, 9)}</p>"), invented(i, 9)) for i in range(20)]]
     df = spark.createDataFrame([(i, u, h, "x", "y", 1) for i, u, h, _ in rows], SCHEMA)
