@@ -7,8 +7,6 @@ overall are picked from those.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,7 +17,7 @@ from queuecraft.session import written
 TOP_K = 5
 QUERY_BLOCK = 2048
 PASSAGE_BLOCK = 20000
-CENTRES = 256
+CENTRES = 1024
 
 NEAR_SCHEMA = "query_id long, passage_id long, distance double"
 
@@ -66,7 +64,7 @@ def knn(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataFrame:
     n = passages.count()
     if not n:
         return top_k(queries.select("query_id").limit(0).select("query_id", F.lit(0).cast("long").alias("passage_id"), F.lit(0.0).alias("distance")), k)
-    wanted = min(CENTRES, max(1, math.isqrt(n)))
+    wanted = min(CENTRES, max(1, -(-n // PASSAGE_BLOCK)))         # a query is never sent more often than there are blocks
     drawn = passages.orderBy(F.xxhash64("passage_id"), "passage_id").limit(wanted).select("vector").collect()
     centres = _stack(pd.Series([r["vector"] for r in drawn]))           # at most CENTRES rows
 

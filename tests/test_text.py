@@ -114,3 +114,27 @@ def test_blocks_cut_both_sides(spark, monkeypatch):
     for i, a in rows:
         best = sorted(rows, key=lambda r: ((r[1][0] - a[0]) ** 2 + (r[1][1] - a[1]) ** 2, r[0]))[:3]
         assert [got[(i, k)] for k in (1, 2, 3)] == [b[0] for b in best]
+
+
+@pytest.mark.parametrize("block", [20, 100_000])
+def test_cells_out_of_reach_are_not_visited_and_nothing_is_lost(spark, monkeypatch, block):
+    monkeypatch.setattr(similarity, "PASSAGE_BLOCK", block)
+    seen = spark.sparkContext.accumulator(0)
+    plain = similarity.nearest_in_block
+    def counted(query_ids, queries, ids, vectors, k):
+        seen.add(len(query_ids) * len(ids))
+        return plain(query_ids, queries, ids, vectors, k)
+    monkeypatch.setattr(similarity, "nearest_in_block", counted)
+    rng = np.random.default_rng(11)
+    middles = rng.normal(size=(12, 6)) * 50
+    p = np.concatenate([m + rng.normal(size=(40, 6)) for m in middles])
+    q = np.concatenate([p[::16] + 0.1, rng.normal(size=(10, 6)) * 80])
+    as_rows = lambda m: [(i, [float(x) for x in v]) for i, v in enumerate(m)]
+    passages = spark.createDataFrame(as_rows(p), "passage_id long, vector array<double>").repartition(4)
+    queries = spark.createDataFrame(as_rows(q), "query_id long, vector array<double>")
+    d = ((q[:, None, :] - p[None, :, :]) ** 2).sum(-1)
+    want = {(i, r + 1): int(j) for i in range(len(q)) for r, j in enumerate(np.lexsort((np.arange(len(p)), d[i]))[:5])}
+    assert {(r["query_id"], r["rank"]): r["passage_id"] for r in similarity.knn(queries, passages, 5).collect()} == want
+    assert 0 < seen.value <= (0.5 if block == 20 else 1) * len(q) * len(p)
+    assert similarity.knn(queries, passages.limit(3), 5).count() == 3 * len(q)
+    assert similarity.knn(queries, passages.limit(0), 5).count() == 0 == similarity.knn(queries.limit(0), passages, 5).count()
