@@ -31,18 +31,30 @@ def month_index(year, month_number):
 
 
 def batch_statistics(df: DataFrame, batch: str, score: str, tie: str, label: str) -> DataFrame:
-    """Per batch: counts, rate, score moments and quantiles, and the rank-cut queues inside the batch."""
-    rows = df.select(batch, score, tie, label)
-    up = ordering.plan_scores(rows, score, tie)
-    queued = triage.rank_cut_by(rows, score, tie, [batch], buckets=up.mirrored())
-    in_top, in_mid = (F.col("bucket") == b for b in (triage.TOP, triage.MIDDLE))
-    sums = queued.groupBy(batch).agg(
+    """Per batch: counts, rate, score moments and quantiles, and the rank-cut queues inside the batch.
+
+    One ordered pass: every row's place in its batch, from which the queues and the quantiles' rows follow, so that all
+    measures of all batches are one aggregation. Batches without an id or without any known score are left out.
+    """
+    rows = df.select(batch, score, tie, label).filter(F.col(batch).isNotNull())
+    known = ~ordering.missing(rows, score)
+    run = ordering.running_sums(rows, score, {"n": F.lit(1), "known": known.cast("long")}, tie=tie, by=[batch])
+    rank, n, present = F.col("cum_n"), F.col("tot_n"), F.col("tot_known")
+    tops, mids = triage.share_count(triage.TOP_SHARE)(n), triage.share_count(triage.TOP_SHARE + triage.MIDDLE_SHARE)(n)
+    in_top, in_mid = rank <= tops, (rank > tops) & (rank <= mids)
+    at = lambda place: F.max(F.when(known & (present - rank == place), F.col(score).cast("double")))
+
+    def mark(p: float):
+        spot = (present - 1).cast("double") * F.lit(p)
+        low, high = at(F.floor(spot)), at(F.least(F.floor(spot) + 1, present - 1))
+        return low + (high - low) * F.max(spot - F.floor(spot))
+
+    return run.filter(present > 0).groupBy(batch).agg(
         F.count("*").alias("n_rows"), F.avg(label).alias("positive_rate"), F.avg(score).alias("avg_score"),
         F.stddev_pop(score).alias("std_score"), F.count(F.when(in_top, 1)).alias("top_count"),
         F.count(F.when(in_mid, 1)).alias("middle_count"),
-        F.coalesce(F.avg(F.when(in_top, F.col(label))), F.lit(0.0)).alias("top_positive_rate"))
-    marks = ordering.quantiles(rows, score, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}, by=[batch], buckets=up)
-    return sums.join(marks.drop("n_rows"), batch)
+        F.coalesce(F.avg(F.when(in_top, F.col(label))), F.lit(0.0)).alias("top_positive_rate"),
+        *[mark(p).alias(name) for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p95", 0.95))])
 
 
 def order_edges(df: DataFrame, features: Sequence[str]) -> list[list[float]]:

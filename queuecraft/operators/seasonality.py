@@ -20,19 +20,29 @@ def group_quality(df: DataFrame, by: str, score: str, tie: str, label: str) -> D
     without a positive are left out.
     """
     rows = df.filter(F.col(by).isNotNull()).select(by, score, tie, label)
-    up = ordering.plan_scores(rows, score, tie)     # one set of boundaries for all three
-    areas = metrics.areas(rows, score, label, by=[by], buckets=up.mirrored())
-    cut = ordering.rows_at_ranks(rows, score, tie, {"k": triage.at_least_one(triage.TOP_SHARE)}, by=[by], buckets=up.mirrored())
-    cut = cut.select(by, ordering.known(cut, score).alias("_cut_s"), F.col(tie).alias("_cut_t"), F.col("rank").alias("_k"))
-    level = ordering.quantiles(rows, score, {"_q": 1 - triage.TOP_SHARE}, by=[by], buckets=up).select(by, "_q")
-    marks = written(cut.join(level, by, "left"))     # one row per group
-    in_k = triage.not_after(rows, score, tie, F.col("_cut_s"), F.col("_cut_t"), F.col("_cut_s").isNotNull())
-    top = ~ordering.missing(rows, score) & (F.col(score) >= F.col("_q"))
-    sums = rows.join(marks, by).groupBy(by).agg(
-        F.avg(score).alias("avg_score"), F.avg(label).alias("positive_rate"),
-        (F.sum(F.when(in_k, F.col(label)).otherwise(0)) / F.max("_k")).alias("_precision"),
-        F.coalesce(F.avg(F.when(top, F.col(label))), F.lit(0.0)).alias("top_positive_rate"))
-    joined = areas.join(sums, by).filter((F.col("n_rows") >= MIN_REPORTED) & (F.col("positives") > 0))
+    known = ~ordering.missing(rows, score)
+    # one ordered pass gives every row its place; what all measures need of a (group, score) is then written once
+    run = ordering.running_sums(rows, score, {"n": F.lit(1), "p": F.coalesce(F.col(label), F.lit(0)), "known": known.cast("long")}, tie=tie, by=[by])
+    k = triage.at_least_one(triage.TOP_SHARE)(F.col("tot_n"))
+    table = written(run.withColumns({"_s": F.when(known, F.col(score).cast("double")), "_k": k}).groupBy(
+        by, "_s", "tot_n", "tot_p", "tot_known", "_k").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(label), F.lit(0)).alias("p"), F.count(label).alias("labels"), F.max("cum_n").alias("cum_n"),
+        F.max("cum_p").alias("cum_p"), F.sum(F.when(F.col("cum_n") <= F.col("_k"), F.col(label)).otherwise(0)).alias("hits"),
+        F.sum(score).alias("total"), F.count(score).alias("scores")))
+    spot = (F.col("tot_known") - 1).cast("double") * F.lit(1 - triage.TOP_SHARE)
+    low = F.floor(spot)
+    above = F.col("tot_known") - F.col("cum_n")         # known values below this one
+    at = lambda place: F.max(F.when(F.col("_s").isNotNull() & (place >= above) & (place < above + F.col("n")), F.col("_s")))
+    low_value, high_value = at(low), at(F.least(low + 1, F.col("tot_known") - 1))
+    sums = table.groupBy(by).agg(
+        F.max("tot_n").alias("n_rows"), F.max("tot_p").alias("positives"), F.sum(metrics.average_precision_step()).alias("average_precision"),
+        F.sum(metrics.roc_area()).alias("roc_auc"), (F.sum("total") / F.sum("scores")).alias("avg_score"),
+        (F.sum("p") / F.sum("labels")).alias("positive_rate"), (F.sum("hits") / F.max("_k")).alias("_precision"),
+        (low_value + (high_value - low_value) * F.max(spot - low)).alias("_q"))
+    top = table.join(sums.select(by, "_q"), by).filter(F.col("_s") >= F.col("_q")).groupBy(by).agg(
+        (F.sum("p") / F.sum("labels")).alias("_top"))
+    joined = sums.join(top, by, "left").withColumn("top_positive_rate", F.coalesce("_top", F.lit(0.0))).filter(
+        (F.col("n_rows") >= MIN_REPORTED) & (F.col("positives") > 0))
     enough = F.col("positives") >= MIN_POSITIVES
     return joined.select(
         by, "n_rows", "positives", enough.alias("sufficient"), "positive_rate",
