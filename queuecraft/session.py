@@ -30,13 +30,16 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 
 # Wide feature projections compile to methods the JVM never optimises (over 8000 bytes of bytecode).
 # With this limit Spark falls back to its split form for those stages only; all others stay fused.
-RUNTIME_OPTIONS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# Python stages read texts: smaller Arrow batches keep a task's memory small where texts are long.
+# Each option: Spark's own default, and what stands in its place.
+RUNTIME_OPTIONS = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+                   "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000")}
 
 
 def tuned(spark: SparkSession) -> SparkSession:
     """Set the runtime options above, unless the session already says otherwise."""
-    for name, value in RUNTIME_OPTIONS.items():
-        if spark.conf.get(name) == "65535":      # Spark's own default
+    for name, (default, value) in RUNTIME_OPTIONS.items():
+        if spark.conf.get(name) == default:
             spark.conf.set(name, value)
     return spark
 
