@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +63,54 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     return df.withColumns({f"{c}_{level}": (text(c) == level).cast("int") for c, values in levels.items() for level in values})
 
 
+PARTS = 10_000          # levels with more than a PARTS-th of all cells are at most PARTS: they go to every task
+
+
+@dataclass(frozen=True)
+class WideLevels:
+    """Levels of columns that may have millions of them: a written table (name, level, place, n), numbered from 0 in the
+    order of the level inside each column, and how many each column has."""
+
+    path: str
+    columns: tuple[str, ...]
+    sizes: tuple[int, ...]
+
+    @property
+    def width(self) -> int:
+        return sum(self.sizes)
+
+
+def _level_cells(columns: Sequence[str]):
+    return F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("level")) for c in columns]))
+
+
+def fit_wide_levels(df: DataFrame, columns: Sequence[str], path: str) -> WideLevels:
+    """Number the levels of each column, null read as "Unknown". Only one size per column comes to the driver."""
+    seen = df.select(_level_cells(columns)).groupBy("name", "level").agg(F.count("*").alias("n"))
+    placed = ordering.with_rank(seen, "level", "level", by=["name"], descending=False, rank="place", total="_n")
+    placed.select("name", "level", (F.col("place") - 1).alias("place"), "n").write.mode("overwrite").parquet(path)
+    found = {r["name"]: r["size"] for r in df.sparkSession.read.parquet(path).groupBy("name").agg(F.count("*").alias("size")).collect()}
+    return WideLevels(path, tuple(columns), tuple(found.get(c, 0) for c in columns))
+
+
+def encode_wide(df: DataFrame, key: str, levels: WideLevels, out: str = "features") -> DataFrame:
+    """(key, sparse 0/1 vector): each cell joined with its level's number behind the columns before; an unseen level sets
+    nothing. ``key`` names a row. Frequent levels go to every task, all others meet their cells by a shuffle."""
+    starts = {c: sum(levels.sizes[:i]) for i, c in enumerate(levels.columns)}
+    table = df.sparkSession.read.parquet(levels.path)
+    total = table.agg(F.sum("n")).first()[0] or 0
+    at = F.create_map(*[x for c, start in starts.items() for x in (F.lit(c), F.lit(start).cast("long"))])
+    table = table.select("name", "level", (F.col("place") + at[F.col("name")]).cast("int").alias("at"), "n")
+    common = F.broadcast(table.filter(F.col("n") * PARTS > total).drop("n"))
+    rare = table.filter(F.col("n") * PARTS <= total).drop("n")
+    cells = df.select(key, _level_cells(levels.columns))
+    placed = cells.join(common, ["name", "level"]).unionByName(
+        cells.join(common.drop("at"), ["name", "level"], "left_anti").join(rare, ["name", "level"], "left"))
+    width = levels.width
+    sparse = F.udf(lambda at: Vectors.sparse(width, at, [1.0] * len(at)), VectorUDT())
+    return placed.groupBy(key).agg(F.sort_array(F.collect_list("at")).alias("_at")).select(key, sparse("_at").alias(out))
+
+
 @dataclass
 class Preprocessor:
     """Median fill and scaling of numeric columns, one-hot encoding of categorical ones."""

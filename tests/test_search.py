@@ -99,3 +99,27 @@ def test_briefs_say_what_the_scorer_says(spark, sf):
         assert f"**Risk Score:** {r.score:.4f}" in r.brief and len(r.reasons) == 3
         for reason in spark.createDataFrame([(x,) for x in r.reasons], "x string").select(briefs.clean_reason(F.col("x")).alias("x")).collect():
             assert reason.x in r.query_text
+
+
+def test_wide_columns_are_encoded_without_their_levels_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(prep, "PARTS", 50)          # few levels are common
+    n = 3000
+    df = spark.range(n).select("id", F.concat(F.lit("policy-"), F.col("id").cast("string")).alias("wide"),
+                               F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("c"), (F.col("id") % 5).cast("string"))).alias("narrow"))
+    levels = prep.fit_wide_levels(df, ["wide", "narrow"], scratch_path(spark, "levels"))
+    names = sorted(f"policy-{i}" for i in range(n))
+    narrow = sorted({"hot", "Unknown", *(f"c{i}" for i in range(5))})
+    assert levels.sizes == (n, len(narrow)) and levels.width == n + 7
+    table = {(r.name, r.level): r.place for r in spark.read.parquet(levels.path).collect()}
+    assert all(table["wide", x] == i for i, x in enumerate(names)) and all(table["narrow", x] == i for i, x in enumerate(narrow))
+    more = df.union(spark.createDataFrame([(n, "never seen", "hot"), (n + 1, "policy-5", None)], "id long, wide string, narrow string"))
+    got = {r.id: (r.features.size, sorted(r.features.indices.tolist())) for r in prep.encode_wide(more, "id", levels).collect()}
+    want = {r.id: (levels.width, sorted(([table["wide", r.wide]] if ("wide", r.wide) in table else []) + [n + table["narrow", r.narrow or "Unknown"]]))
+            for r in more.collect()}
+    assert got == want
+    # on columns of few levels both encoders say the same
+    small = prep.fit_levels(df, ["narrow"])
+    hot = {r.id: [r[c] for c in prep.one_hot_names(small)] for r in prep.one_hot(df, small).collect()}
+    few = prep.encode_wide(df, "id", prep.fit_wide_levels(df, ["narrow"], scratch_path(spark, "levels")))
+    assert all(r.features.toArray().astype(int).tolist() == hot[r.id] for r in few.collect())
+    assert prep.encode_wide(df.limit(0), "id", levels).count() == 0
