@@ -8,6 +8,8 @@ from queuecraft.functions import features as claim_features
 from queuecraft.operators import profile, provider, triage, validate
 from queuecraft.plans import views as V
 from queuecraft.plans.registry import query, r, rounded
+from queuecraft.session import scratch_path
+from queuecraft.sources import sinks, tables
 
 
 @query("scan_profile", """
@@ -22,6 +24,40 @@ def scan_profile(spark, sf):
                  day(F.min("o_orderdate")).alias("first_day"), day(F.max("o_orderdate")).alias("last_day"))
 
 
+@query("csv_set_scan", """
+SELECT r_name AS region, count(*) AS customers, count(DISTINCT n_nationkey) AS nations, round(sum(c_acctbal), 2) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
+def csv_set_scan(spark, sf):
+    """Three tables written as CSV and scanned back as one set under declared schemas."""
+    folder = scratch_path(spark, "csv-set")
+    kept = {"customer": ["c_custkey", "c_nationkey", "c_acctbal"], "nation": ["n_nationkey", "n_regionkey"], "region": ["r_regionkey", "r_name"]}
+    schemas = {}
+    for name, columns in kept.items():
+        frame = V.table(spark, sf, name).select(*columns)
+        schemas[name] = frame.schema
+        sinks.write_csv(frame, f"{folder}/{name}.csv")
+    t = tables.read_csv_set(spark, folder, schemas)
+    joined = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey")).join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.groupBy(F.col("r_name").alias("region")).agg(
+        F.count("*").alias("customers"), F.count_distinct("n_nationkey").alias("nations"), r(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@query("json_report", "WITH " + V.RANKED + """
+SELECT bucket, count(*) AS n_rows, sum(label)::BIGINT AS positives, round(avg(label), 6) AS positive_rate FROM cut GROUP BY bucket""")
+def json_report(spark, sf):
+    """The queue report written as JSON and read back under its schema."""
+    path = scratch_path(spark, "report")
+    sinks.write_json(triage.bucket_summary(triage.rank_cut(V.scored(spark, sf), "score", "id"), "label"), path)
+    back = tables.read_json(spark, path, "bucket string, n_rows long, positives long, positive_rate double")
+    return rounded(back)
+
+
+@query("model_columns", "WITH " + V.CLAIMS + " SELECT * EXCLUDE (" + ", ".join(claim_features.REPLACED_COLUMNS) + ") FROM claims")
+def model_columns(spark, sf):
+    """Claims without the originals that engineered columns stand in for."""
+    return claim_features.drop_replaced(V.claims(spark, sf))
+
+
 @query("project_features", """
 SELECT o_orderkey, o_totalprice, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_day FROM orders""")
 def project_features(spark, sf):

@@ -8,15 +8,18 @@ from queuecraft.functions import bands
 from queuecraft.operators import drift, fairness, prep, provider, seasonality, triage
 from queuecraft.plans import views as V
 from queuecraft.plans.registry import query, r, rounded
+from queuecraft.session import written
 
 # --- providers ----------------------------------------------------------------------------------
 
 _WP = "WITH " + V.PROVIDERS
 
 
-def _matrix(spark, sf):
-    return provider.provider_matrix(V.provider_labels(spark, sf), V.inpatient(spark, sf), V.outpatient(spark, sf),
-                                    V.patients(spark, sf), V.CONDITIONS)
+def _matrix(spark, sf, conditions=None):
+    """Lines and orders are joined once; both sides and the link to patients read what was written."""
+    lines = written(V.claim_lines(spark, sf))
+    return provider.provider_matrix(V.provider_labels(spark, sf), V.inpatient_of(lines), V.outpatient_of(lines),
+                                    V.patients(spark, sf), conditions or V.CONDITIONS)
 
 
 _MATRIX_COLUMNS = ["claims_ip", "avg_amount_ip", "total_amount_ip", "max_amount_ip", "avg_deductible_ip", "patients_ip", "physicians_ip",
@@ -32,6 +35,18 @@ def provider_matrix(spark, sf):
     return rounded(_matrix(spark, sf).select("provider", "label", *_MATRIX_COLUMNS), 3)
 
 
+@query("provider_comparison", _WP + """
+SELECT provider, claims_ip AS inpatient_claims, round(total_amount_ip, 2) AS inpatient_amount, patients_ip AS inpatient_patients, claims_op AS outpatient_claims,
+       round(total_amount_op, 2) AS outpatient_amount, patients_op AS outpatient_patients, round(avg_condition_a, 6) AS share_first_condition, states FROM provider""")
+def provider_comparison(spark, sf):
+    """The smaller matrix for comparing providers: the first condition only, fewer columns under other names."""
+    made = _matrix(spark, sf, V.CONDITIONS[:1])
+    names = {"claims_ip": "inpatient_claims", "total_amount_ip": "inpatient_amount", "patients_ip": "inpatient_patients", "claims_op": "outpatient_claims",
+             "total_amount_op": "outpatient_amount", "patients_op": "outpatient_patients", "avg_condition_a": "share_first_condition"}
+    out = made.select("provider", *[F.col(c).alias(n) for c, n in names.items()], "states")
+    return rounded(out, 2, only={"share_first_condition": 6})
+
+
 @query("provider_inpatient", _WP + """
 SELECT provider, claims_ip, round(avg_amount_ip, 3) AS avg_amount_ip, round(total_amount_ip, 2) AS total_amount_ip, max_amount_ip,
        round(avg_deductible_ip, 6) AS avg_deductible_ip, patients_ip, physicians_ip FROM ip""")

@@ -179,7 +179,7 @@ ENGINEERED = CLAIMS + ", level1 AS (SELECT *,\n  " + ",\n  ".join(
 
 # --- providers: suppliers, with returned and other line items as the two claim tables -------
 
-def _claim_lines(spark: SparkSession, sf: str) -> DataFrame:
+def claim_lines(spark: SparkSession, sf: str) -> DataFrame:
     l = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return l.join(o, l.l_orderkey == o.o_orderkey).select(
@@ -188,12 +188,20 @@ def _claim_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_discount").alias("deductible"), F.col("l_returnflag").alias("flag"))
 
 
+def inpatient_of(lines: DataFrame) -> DataFrame:
+    return lines.filter((F.col("flag") == "R") & (F.col("provider") % 10 != 0)).drop("flag")
+
+
+def outpatient_of(lines: DataFrame) -> DataFrame:
+    return lines.filter((F.col("flag") != "R") & (F.col("provider") % 10 != 1)).drop("flag")
+
+
 def inpatient(spark: SparkSession, sf: str) -> DataFrame:
-    return _claim_lines(spark, sf).filter((F.col("flag") == "R") & (F.col("provider") % 10 != 0)).drop("flag")
+    return inpatient_of(claim_lines(spark, sf))
 
 
 def outpatient(spark: SparkSession, sf: str) -> DataFrame:
-    return _claim_lines(spark, sf).filter((F.col("flag") != "R") & (F.col("provider") % 10 != 1)).drop("flag")
+    return outpatient_of(claim_lines(spark, sf))
 
 
 def patients(spark: SparkSession, sf: str) -> DataFrame:
