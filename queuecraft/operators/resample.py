@@ -125,8 +125,10 @@ def bootstrap_scores(df: DataFrame, key: str, score: str, label: str, replicates
     pass and a few numbers per (bucket, replicate), never a row per resample. Resamples without a positive are left out;
     a missing label counts as no positive.
     """
+    wide = ordering.default_parts(df)
+    spread = lambda frame: frame.repartition(2 * wide, "bucket")       # by number: few rows, but much work on each
     cut = ordering.bucketed(df.select(F.col(key), F.col(score).alias("score"), F.coalesce(F.col(label), F.lit(0)).cast("long").alias("label")),
-                            "score", key).withColumn("_id", F.col(key).cast("string"))
+                            "score", key, parts=4 * wide).withColumn("_id", F.col(key).cast("string"))
     order = ordering.in_order(cut, "score", key)
     rows = written(cut.withColumn("_at", F.row_number().over(Window.partitionBy(ordering.BUCKET).orderBy(*order)))
                    .select(F.col(ordering.BUCKET).alias("bucket"), "_id", "score", "label", "_at"))
@@ -148,7 +150,7 @@ def bootstrap_scores(df: DataFrame, key: str, score: str, label: str, replicates
                              **{name: [x.tolist()] for name, x in sums.items()}})
 
     counted = [f"{name}{c}" for name in ("", "first_", "last_") for c in "np"]
-    found = written(rows.groupBy("bucket").applyInPandas(
+    found = written(spread(rows).groupBy("bucket").applyInPandas(
         totals, f"bucket long, first {kind}, last {kind}, groups int, " + ", ".join(f"{c} array<bigint>" for c in counted)))
     long = found.select("bucket", "first", "last", "groups", F.posexplode(F.arrays_zip(*counted)).alias("_r", "_x")).select(
         "bucket", "first", "last", "groups", (F.col("_r") + 1).alias("replicate"), *[F.col(f"_x.{c}").alias(c) for c in counted])
@@ -203,7 +205,7 @@ def bootstrap_scores(df: DataFrame, key: str, score: str, label: str, replicates
                 cum_n[own], cum_p[own] = run_n[-1], run_p[-1]
         return pd.DataFrame({"replicate": np.arange(1, replicates + 1), **{m: np.nan_to_num(x) for m, x in out.items()}})
 
-    inside = rows.groupBy("bucket").cogroup(shifts.groupBy("bucket")).applyInPandas(
+    inside = spread(rows).groupBy("bucket").cogroup(spread(shifts).groupBy("bucket")).applyInPandas(
         areas, "replicate int, average_precision double, roc_auc double, hits double")
     size = sums.groupBy("replicate").agg(F.max("tot_n").alias("_n"), F.max("tot_p").alias("_p"))
     return (inside.unionByName(at_ends).groupBy("replicate").agg(*[F.sum(m).alias(m) for m in ("average_precision", "roc_auc", "hits")])
