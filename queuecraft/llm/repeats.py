@@ -425,7 +425,8 @@ def whole_characters(batches):
 
 def without_repeated_text(docs: DataFrame) -> DataFrame:
     """``docs`` with each text, and its n_chars, as ``without_repeats`` leaves it, in whole characters."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", digest())
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]     # the text travels once
+    rows = docs.select(F.struct(*others).alias("row"), "doc_id", "text", digest())
     joined = with_spans(rows, docs.select("doc_id", "text")).select("row", "text", "spans")
     kind = joined.schema["row"].dataType.simpleString()
     return with_text(joined.mapInArrow(whole_characters, f"row {kind}, text string"), docs.columns)
