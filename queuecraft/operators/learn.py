@@ -152,18 +152,6 @@ def random_trials(estimator: Estimator, ranges: Mapping[str, tuple], n: int, see
     return points
 
 
-def tune(train: DataFrame, estimator: Estimator, trials: Sequence[Mapping], fold: str, folds: int, label: str = "label",
-         parallelism: int = 4) -> DataFrame:
-    """Cross-validated trials as a table: parameters, mean and deviation of average precision, best marked."""
-    maps = [{getattr(estimator, name): value for name, value in trial.items()} for trial in trials]
-    search = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=AveragePrecision(label),
-                            numFolds=folds, foldCol=fold, parallelism=parallelism)
-    found = search.fit(train)
-    best = max(range(len(trials)), key=lambda i: found.avgMetrics[i])
-    rows = [(i, str(dict(t)), float(found.avgMetrics[i]), float(found.stdMetrics[i]), i == best) for i, t in enumerate(trials)]
-    return train.sparkSession.createDataFrame(rows, "trial int, params string, mean double, std double, is_best boolean")
-
-
 def halve(train: DataFrame, estimator: Estimator, trials: Sequence[Mapping], fold: str, folds: int, budgets: Sequence[int],
           budget: str = "maxIter", keep: float = 1 / 3, label: str = "label", parallelism: int = 4) -> DataFrame:
     """Search by successive halving: every trial gets a small budget, the best share of each rung a larger one.
