@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from queuecraft.operators import explain, learn, prep, resample, trees, triage
-from queuecraft.session import scratch_path
+from queuecraft.session import scratch_path, written
 from queuecraft.sources import artifacts
 
 
@@ -189,3 +189,15 @@ def test_drivers_keep_the_strongest(spark):
     got = df.select(explain.top_drivers(F.col("contributions"), 2).alias("d")).first()["d"]
     assert [d["feature"] for d in got] == ["b", "c"]
     assert explain.used_features(explain.global_importance(df)) == ["b", "c", "a"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_permuted_rows_do_not_go_through_the_driver(rows):
+    filled = written(rows.fillna({"x": 0.0}).drop("c"))       # files this small invite a broadcast
+    got = learn.permutation_importance(filled, "id", "label", ["x", "y"], lambda df: df.withColumn("score", F.col("x") + F.col("y")), repeats=2)
+    assert "BroadcastExchange" not in plan_of(got)
+    drops = {r["feature"]: r["mean_drop"] for r in got.collect()}
+    assert drops["x"] > 0.1
