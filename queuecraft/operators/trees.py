@@ -139,7 +139,8 @@ def additivity(contributions: DataFrame, scored: DataFrame, key: str) -> DataFra
     """Contributions with the model's own log-odds and how far base and contributions together miss them."""
     own = scored.select(key, (MARGIN_TO_LOG_ODDS * vector_to_array("rawPrediction")[1]).alias("log_odds"))
     total = F.col("base") + F.aggregate("phis", F.lit(0.0), lambda a, x: a + x)
-    return contributions.join(own, key).withColumn("gap", F.abs(total - F.col("log_odds")))
+    # one row each: the planner may guess from the compressed files that one side is small enough for every task
+    return contributions.hint("merge").join(own, key).withColumn("gap", F.abs(total - F.col("log_odds")))
 
 
 def tree_contributions(df: DataFrame, path: str, key: str, features: str = "features",

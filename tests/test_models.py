@@ -201,3 +201,12 @@ def test_permuted_rows_do_not_go_through_the_driver(rows):
     assert "BroadcastExchange" not in plan_of(got)
     drops = {r["feature"]: r["mean_drop"] for r in got.collect()}
     assert drops["x"] > 0.1
+
+
+def test_additivity_does_not_send_rows_through_the_driver(spark):
+    contributions = spark.createDataFrame([(i, 0.5, [1.0, 2.0], [0.25, float(i)]) for i in range(20)], "id long, base double, values array<double>, phis array<double>")
+    margins = spark.createDataFrame([(i, 0.5 * (0.75 + i)) for i in range(20)], "id long, m double")
+    scored = VectorAssembler(inputCols=["m", "m"], outputCol="rawPrediction").transform(margins)
+    got = trees.additivity(written(contributions), written(scored), "id")
+    assert "BroadcastExchange" not in plan_of(got)
+    assert got.count() == 20 and got.filter(F.col("gap") > 1e-12).count() == 0
