@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from queuecraft.session import written
+
 
 # Readable feature names.
 FEATURE_LABELS = {
@@ -111,7 +113,9 @@ def with_feature_text(df: DataFrame, name: str, value: str, categorical: DataFra
     names = names.filter(F.length("_prefix") < F.length(name))
     known = categorical.select(F.col("column_name").alias("_prefix")).distinct()
     longest = names.join(known, "_prefix").groupBy(name).agg(F.max_by("_prefix", F.length("_prefix")).alias("_prefix"))
-    joined = df.join(longest, name, "left")
+    # written first: the planner sees how few names there are and gives them to every task, so that the rows of a frequent
+    # name stay where they are
+    joined = df.join(written(longest), name, "left")
     level = F.substring(F.col(name), F.length("_prefix") + 2, F.length(name))
     label = plain_label(F.col("_prefix"))
     hot = (F.when(F.col(value).isNull(), F.concat(label, F.lit(" = '"), level, F.lit("'")))

@@ -135,3 +135,12 @@ def test_quarantine_splits_all_rows(spark, sf):
 def test_column_roles(spark, sf):
     cats, nums = validate.column_roles(views.claims(spark, sf))
     assert "Sex" in cats and "Age" in nums and not set(cats) & set(nums)
+
+
+def test_rows_of_a_frequent_name_stay_where_they_are(spark):
+    df = spark.createDataFrame([("BasePolicy_Liability", 1.0)] * 50 + [("BasePolicy_x_y", None), ("Age", 3.0), (None, 1.0)], "feature string, value double")
+    known = spark.createDataFrame([("BasePolicy",), ("BasePolicy_x",)], "column_name string")
+    got = labels.with_feature_text(df, "feature", "value", known)
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    texts = [r["text"] for r in got.collect()]
+    assert texts.count("base policy is Liability") == 50 and "base policy x = 'y'" in texts and len(texts) == 53
