@@ -27,12 +27,16 @@ def missing_summary(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows beyond the first of each set of equal rows. Long texts are compared through a 256-bit digest,
-    so the shuffle carries digests and counts, not texts."""
+    """Rows beyond the first of each set of equal rows. All texts of a row are compared through one 256-bit digest,
+    so the shuffle carries 32 bytes for them and counts, not texts nor a digest for each column."""
     names = list(columns or df.columns)
     kinds = dict(df.dtypes)
-    keys = [F.sha2(F.col(c), 256).alias(c) if kinds[c] == "string" else F.col(c) for c in names]
-    groups = df.select(*keys).groupBy(*names).agg(F.count("*").alias("n"))
+    texts = [c for c in names if kinds[c] == "string"]
+    keys = [F.col(c) for c in names if kinds[c] != "string"]
+    if texts:       # each text behind its length in bytes, so that no two rows run together; null has a mark of its own
+        told = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in texts]
+        keys.append(F.unhex(F.sha2(F.concat(*told), 256)).alias("_texts"))
+    groups = df.select(*keys).groupBy(*[c for c in names if kinds[c] != "string"], *["_texts"] * bool(texts)).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

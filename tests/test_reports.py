@@ -70,3 +70,11 @@ def test_sketched_cardinality(spark):
     df = spark.range(500).select("id", (F.col("id") % 7).alias("few"))
     got = {r["column_name"]: r["id_like"] for r in profile.high_cardinality(df, ["id", "few"]).collect()}
     assert got == {"id": True, "few": False}
+
+
+def test_duplicates_by_one_digest_of_all_texts(spark):
+    rows = [(1, "a", "bc"), (1, "ab", "c"), (1, None, "-"), (1, "-", None), (1, "", None), (1, None, ""), (1, None, ""), (2, None, "")]
+    got = profile.duplicate_rows(spark.createDataFrame(rows, "i int, s string, t string"))
+    assert got.first()["duplicate_rows"] == 1
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
+    assert profile.duplicate_rows(spark.createDataFrame([(1,), (1,)], "i int")).first()["duplicate_rows"] == 1
