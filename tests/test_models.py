@@ -8,7 +8,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from queuecraft.functions import features
 from queuecraft.operators import explain, learn, prep, resample, trees, triage
+from queuecraft.plans import model_queries, views
 from queuecraft.session import scratch_path, written
 from queuecraft.sources import artifacts
 
@@ -210,3 +212,13 @@ def test_additivity_does_not_send_rows_through_the_driver(spark):
     got = trees.additivity(written(contributions), written(scored), "id")
     assert "BroadcastExchange" not in plan_of(got)
     assert got.count() == 20 and got.filter(F.col("gap") > 1e-12).count() == 0
+
+
+def test_claims_are_dealt_before_they_are_widened(spark, sf):
+    wide = features.engineer(features.impute_age(views.claims(spark, sf)))
+    want = resample.stratified_split(wide, model_queries.KEY, model_queries.LABEL)
+    got = model_queries._claims(spark, sf)
+    below = plan_of(got)
+    assert "MonthClaimed" not in below[below.index("Window"):]
+    got = got.select(want.columns)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
