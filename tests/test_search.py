@@ -123,3 +123,19 @@ def test_wide_columns_are_encoded_without_their_levels_on_the_driver(spark, monk
     few = prep.encode_wide(df, "id", prep.fit_wide_levels(df, ["narrow"], scratch_path(spark, "levels")))
     assert all(r.features.toArray().astype(int).tolist() == hot[r.id] for r in few.collect())
     assert prep.encode_wide(df.limit(0), "id", levels).count() == 0
+
+
+def test_scores_of_all_trials_are_measured_together(spark, folded, monkeypatch):
+    ready = prep.Preprocessor.fit(folded, ["x", "noise"], [])
+    vectors = staged(ready.transform(folded, ["id", "fold", "label"], vector="features").withColumn("label", F.col("label").cast("double")))
+    estimator = learn.boosted(weight=None, subsamplingRate=1.0)
+    calls, own = [], metrics.average_precision
+    monkeypatch.setattr(metrics, "average_precision", lambda *a, **k: calls.append(1) or own(*a, **k))
+    rows = learn.halve(vectors, estimator, [{"maxDepth": 1}, {"maxDepth": 3}], "fold", 2, (2,)).collect()
+    assert len(calls) == 2              # one a fold, not one a fit
+    for r, depth in zip(sorted(rows, key=lambda r: r.trial), (1, 3)):
+        areas = []
+        for i in range(2):
+            model = learn.with_params(estimator, {"maxDepth": depth, "maxIter": 2}).fit(vectors.filter(F.col("fold") != i))
+            areas.append(own(learn.score_with(model, vectors.filter(F.col("fold") == i), ["label"]), "score", "label").first()[0])
+        assert abs(r.mean - sum(areas) / 2) < 1e-9 and abs(r["std"] - abs(areas[0] - areas[1]) / 2) < 1e-9
