@@ -19,7 +19,7 @@ WINDOWS = 20            # stretches of one document among them, at most
 STEPS = 240             # batches of training
 HIDDEN = 16
 WINDOW, STRIDE = 128, 64
-CONTEXT = 24            # characters on each side of a digit or an @ that the network looks at
+CONTEXT = 24            # characters on each side of a digit or an @ in a stretch the network is trained on
 TAGS = 1 + 2 * len(KINDS)       # outside; begin and inside of each kind
 
 # fixed values: the patterns of the base kinds. A match of four numbers can only begin where a run of digits does
@@ -126,7 +126,35 @@ def lstm_slope(codes, p, side, kept, d_out, slope) -> None:
 
 
 def emissions(codes: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarray:
-    return (np.concatenate([lstm(codes, p, "f", False)[0], lstm(codes, p, "b", False)[0]], axis=2) @ p["out"] + p["bias"])
+    """Tag scores (batch, time, TAGS) of windows. Both directions go side by side and a window is a column, so that every
+    step works on whole contiguous blocks; a sigmoid is a tanh of half its argument, so one tanh serves all gates."""
+    n, T = codes.shape
+    H = HIDDEN
+    half = np.where(np.arange(4 * H) < 3 * H, np.float32(0.5), np.float32(1))
+    tables = [p["x" + side] * half for side in "fb"]
+    turns = np.stack([(p["h" + side] * half).T for side in "fb"])
+    tags = np.stack([p["out"][:H].T, p["out"][H:].T])
+    at = np.ascontiguousarray(codes.T)
+    h, c = np.zeros((2, H, n), np.float32), np.zeros((2, H, n), np.float32)
+    z, new = np.empty((2, 4 * H, n), np.float32), np.empty((2, H, n), np.float32)
+    out = np.zeros((T, TAGS, n), np.float32)
+    for t in range(T):
+        np.matmul(turns, h, out=z)
+        z[0] += tables[0][at[t]].T
+        z[1] += tables[1][at[T - 1 - t]].T
+        np.tanh(z, out=z)
+        gates = z[:, :3 * H]
+        gates *= np.float32(0.5)
+        gates += np.float32(0.5)
+        np.multiply(z[:, :H], z[:, 3 * H:], out=new)
+        c *= z[:, H:2 * H]
+        c += new
+        np.tanh(c, out=new)
+        np.multiply(z[:, 2 * H:3 * H], new, out=h)
+        e = tags @ h
+        out[t] += e[0]
+        out[T - 1 - t] += e[1]
+    return out.transpose(2, 0, 1) + p["bias"]
 
 
 def train(texts: list[tuple[str, list[int]]], steps: int = STEPS, seed: int = 7) -> dict[str, np.ndarray] | None:
@@ -189,26 +217,103 @@ def train(texts: list[tuple[str, list[int]]], steps: int = STEPS, seed: int = 7)
     return {k: x.astype(np.float32) for k, x in p.items()}
 
 
-def reconciled(texts: list[str], p: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """Tag scores of each stretch: overlapping windows are read each by itself, and where they overlap their scores are
+class Reading:
+    """Tag scores of one text: overlapping windows are read each by itself, and where they overlap their scores are
     averaged, the more by a window the further the place is from its edges."""
-    windows = [(i, at) for i, t in enumerate(texts) for at in range(0, max(len(t) - WINDOW + STRIDE, 1), STRIDE)]
-    scores = [np.zeros((len(t), TAGS)) for t in texts]
-    shares = [np.zeros(len(t)) for t in texts]
-    codes = [symbols(t) for t in texts]
-    windows.sort(key=lambda w: min(WINDOW, len(texts[w[0]]) - w[1]))
+
+    def __init__(self, text: str):
+        self.codes = symbols(text)
+        n = len(self.codes)
+        self.sums, self.shares = np.zeros((n, TAGS)), np.zeros(n)
+        self.seen = np.zeros(max(1, -(-(n - WINDOW + STRIDE) // STRIDE)) if n else 0, dtype=bool)      # by window
+
+    def scores(self, begin: int, end: int) -> np.ndarray:
+        return self.sums[begin:end] / self.shares[begin:end, None]
+
+    def whole(self) -> np.ndarray:
+        """Places all of whose windows were read."""
+        blocks = np.append(self.seen, True) & np.append(True, self.seen)
+        return np.repeat(blocks, STRIDE)[:len(self.codes)] if len(self.seen) > 1 else np.repeat(self.seen, len(self.codes))
+
+    def windows_of(self, places: np.ndarray) -> np.ndarray:
+        """The windows not yet read over the given places."""
+        blocks = np.unique(places // STRIDE)
+        wanted = np.unique(np.concatenate([blocks - 1, blocks]).clip(0, len(self.seen) - 1))
+        return wanted[~self.seen[wanted]]
+
+
+def read_windows(readings: list[Reading], windows: list[tuple[int, int]], p: dict[str, np.ndarray]) -> None:
+    """Run the network over windows (reading, number). Each is filled up to the same length: the backward direction meets
+    the filling first, so a window's scores must not depend on those it is read with."""
     for lo in range(0, len(windows), 512):
         part = windows[lo:lo + 512]
-        sizes = [min(WINDOW, len(texts[i]) - at) for i, at in part]
-        block = np.full((len(part), max(sizes)), VOCABULARY - 1, dtype=np.int64)
-        for r, ((i, at), n) in enumerate(zip(part, sizes)):
-            block[r, :n] = codes[i][at:at + n]
+        sizes = [min(WINDOW, len(readings[i].codes) - w * STRIDE) for i, w in part]
+        block = np.full((len(part), WINDOW), VOCABULARY - 1, dtype=np.int64)
+        for r, ((i, w), n) in enumerate(zip(part, sizes)):
+            block[r, :n] = readings[i].codes[w * STRIDE:w * STRIDE + n]
         e = emissions(block, p)
-        for r, ((i, at), n) in enumerate(zip(part, sizes)):
-            share = np.minimum(np.arange(1, n + 1), np.arange(n, 0, -1))
-            scores[i][at:at + n] += e[r, :n] * share[:, None]
-            shares[i][at:at + n] += share
-    return [s / w[:, None] for s, w in zip(scores, shares)]
+        for r, ((i, w), n) in enumerate(zip(part, sizes)):
+            share, at = np.minimum(np.arange(1, n + 1), np.arange(n, 0, -1)), slice(w * STRIDE, w * STRIDE + n)
+            readings[i].sums[at] += e[r, :n] * share[:, None]
+            readings[i].shares[at] += share
+            readings[i].seen[w] = True
+
+
+def reconciled(texts: list[str], p: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Tag scores of every place of each text."""
+    readings = [Reading(t) for t in texts]
+    read_windows(readings, [(i, w) for i, r in enumerate(readings) for w in range(len(r.seen))], p)
+    return [r.scores(0, len(r.codes)) for r in readings]
+
+
+def surely_outside(scores: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    """Places outside any span on the best path, whatever stands beside them: "outside" leads each other tag by more than
+    the two turns next to that tag can make up for."""
+    before = np.maximum(0, (turns - turns[:, :1]).max(axis=0))
+    after = np.maximum(0, (turns - turns[:1]).max(axis=1))
+    return (scores[:, :1] - scores[:, 1:] > (before + after)[1:] + 1e-6).all(axis=1)
+
+
+def decided(texts: list[str], p: dict[str, np.ndarray]) -> list[list[tuple[int, int, np.ndarray]]]:
+    """Per text the stretches (begin, end, tags) of the whole text's best path that hold its digits and @, each from one
+    place surely outside to the next or to an edge of the text.
+
+    A span holds a digit or an @, and no span reaches across a place that is surely outside. So the windows over those
+    characters are read first, and from each of them reading goes on both ways, as far as it takes, until such a place
+    is met: what is found is what reading every window and one pass over the whole text would find.
+    """
+    turns = p["turns"].astype(np.float64)
+    readings = [Reading(t) for t in texts]
+    telling = [np.array([m.start() for m in TELLING.finditer(t)], dtype=np.int64) for t in texts]
+    wanted = {i: at for i, at in enumerate(telling) if len(at)}
+    bounds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    while wanted:
+        read_windows(readings, [(i, int(w)) for i, at in wanted.items() for w in readings[i].windows_of(at)], p)
+        going, wanted = wanted, {}
+        for i in going:
+            r, at = readings[i], telling[i]
+            n, known = len(r.codes), r.whole()
+            out = np.zeros(n, dtype=bool)
+            out[known] = surely_outside(r.sums[known] / r.shares[known, None], turns)
+            place = np.arange(n)
+            # the nearest place on either side that is surely outside or not yet read whole
+            stop = out | ~known
+            left = np.maximum.accumulate(np.where(stop, place, -1))[at]
+            right = np.minimum.accumulate(np.where(stop, place, n)[::-1])[::-1][at]
+            ends = np.unique(np.concatenate([left[left >= 0], right[right < n]]))
+            unread = ends[~known[ends]]
+            if len(unread):
+                wanted[i] = unread
+            else:
+                bounds[i] = np.maximum(left, 0), np.minimum(right + 1, n)
+    stretches = []
+    for i, (left, right) in bounds.items():
+        new = np.append(True, left[1:] >= right[:-1])
+        stretches += [(i, int(a), int(b)) for a, b in zip(left[new], right[np.append(new[1:], True)])]
+    out: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in texts]
+    for (i, a, b), tags in zip(stretches, best_tags([readings[i].scores(a, b) for i, a, b in stretches], turns)):
+        out[i].append((a, b, tags))
+    return out
 
 
 def best_tags(scores: list[np.ndarray], turns: np.ndarray) -> list[np.ndarray]:
@@ -218,25 +323,24 @@ def best_tags(scores: list[np.ndarray], turns: np.ndarray) -> list[np.ndarray]:
     for lo in range(0, len(order), 256):
         group = order[lo:lo + 256]
         sizes = np.array([len(scores[i]) for i in group])
-        if sizes[-1] > 4 * max(sizes[0], 64) and len(group) > 1:
-            for i in group:
-                out[i] = best_tags([scores[i]], turns)[0]
+        if len(group) > 1 and sizes[-1] * len(group) > 4 * sizes.sum():       # unlike lengths: in halves
+            for half in (group[:len(group) // 2], group[len(group) // 2:]):
+                for i, own in zip(half, best_tags([scores[i] for i in half], turns)):
+                    out[i] = own
             continue
-        T = int(sizes[-1])
-        e = np.zeros((len(group), T, TAGS))
+        T, n = int(sizes[-1]), len(group)
+        best = np.zeros((T, TAGS, n))           # best score of a path to each tag; a stretch that has ended keeps its own
         for r, i in enumerate(group):
-            e[r, :sizes[r]] = scores[i]
-        back = np.tile(np.arange(TAGS, dtype=np.int8), (len(group), T, 1))
-        best = e[:, 0]
-        for t in range(1, T):
-            paths = best[:, :, None] + turns
-            live = (t < sizes)[:, None]
-            back[:, t] = np.where(live, paths.argmax(axis=1), back[:, t])
-            best = np.where(live, paths.max(axis=1) + e[:, t], best)
-        tags = np.zeros((len(group), T), dtype=np.int64)
-        tags[:, -1] = best.argmax(axis=1)
+            best[:sizes[r], :, r] = scores[i]
+        for t, gone in enumerate(np.searchsorted(sizes, np.arange(1, T), side="right").tolist(), 1):
+            best[t, :, :gone] = best[t - 1, :, :gone]
+            best[t, :, gone:] += (best[t - 1, :, None, gone:] + turns[:, :, None]).max(axis=0)
+        tags = np.zeros((n, T), dtype=np.int64)
+        tags[:, -1] = best[-1].argmax(axis=0)
         for t in range(T - 1, 0, -1):
-            tags[:, t - 1] = back[np.arange(len(group)), t, tags[:, t]]
+            own = tags[:, t]
+            before = (best[t - 1] + turns[:, own]).argmax(axis=0)
+            tags[:, t - 1] = np.where(t < sizes, before, own)
         for r, i in enumerate(group):
             out[i] = tags[r, :sizes[r]]
     return out
@@ -245,10 +349,9 @@ def best_tags(scores: list[np.ndarray], turns: np.ndarray) -> list[np.ndarray]:
 def tagged_spans(text: str, tags: np.ndarray) -> list[tuple[int, int, str]]:
     """Runs of one kind, without blanks at their ends; a run needs a digit or an @ and six characters, and must not cut
     through a word or number."""
-    out, at = [], 0
-    while at < len(tags):
-        if not tags[at]:
-            at += 1
+    out, last = [], 0
+    for at in np.flatnonzero(tags).tolist():
+        if at < last:
             continue
         kind, end = (tags[at] - 1) // 2, at + 1
         while end < len(tags) and tags[end] == 2 * kind + 2:
@@ -258,7 +361,7 @@ def tagged_spans(text: str, tags: np.ndarray) -> list[tuple[int, int, str]]:
         cuts = text[begin - 1:begin].isalnum() or text[stop:stop + 1].isalnum()
         if stop - begin >= 6 and not cuts and TELLING.search(text, begin, stop):
             out.append((begin, stop, KINDS[kind]))
-        at = end
+        last = end
     return out
 
 
@@ -280,6 +383,19 @@ def labelled_stretches(batches):
                                          names=["text", "tags"])
 
 
+def groups(texts: list[str], size: int = 1 << 18) -> list[list[int]]:
+    """Places of the texts that hold anything, those of like length together, about ``size`` characters a group."""
+    out: list[list[int]] = []
+    room = 0
+    for i in sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i])):
+        if not out or len(texts[i]) > room:
+            out.append([])
+            room = size
+        out[-1].append(i)
+        room -= len(texts[i])
+    return out
+
+
 def finder(model: dict[str, np.ndarray] | None):
     """Arrow function: (doc_id, text) to (doc_id, spans)."""
     def run(batches):
@@ -289,11 +405,10 @@ def finder(model: dict[str, np.ndarray] | None):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 added: list[list[tuple[int, int, str]]] = [[] for _ in texts]
                 if model:
-                    places = [(i, a, b) for i, t in enumerate(texts) for a, b in regions(t)]
-                    stretches = [texts[i][a:b] for i, a, b in places]
-                    tags = best_tags(reconciled(stretches, model), model["turns"].astype(np.float64))
-                    for (i, a, _), stretch, own in zip(places, stretches, tags):
-                        added[i] += [(a + x, a + y, kind) for x, y, kind in tagged_spans(stretch, own)]
+                    # about a quarter of a million characters at once, whole texts each: that bounds the memory of a task
+                    for group in groups(texts):
+                        for i, found in zip(group, decided([texts[i] for i in group], model)):
+                            added[i] = [(a + x, a + y, kind) for a, b, tags in found for x, y, kind in tagged_spans(texts[i][a:b], tags)]
                 found = [in_order(base_spans(t), more, KINDS) for t, more in zip(texts, added)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, ARROW)], names=["doc_id", "spans"])
     return run
@@ -307,9 +422,8 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray] | None:
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) of every row: what the base patterns find, and what the network adds, in code points.
 
-    The network is trained on base spans of a bounded sample. It reads all stretches around digits and @, of every
-    whole text: a span of any kind holds one of them. Long stretches go through in overlapping windows whose scores are
-    put together before the best tags of the whole stretch are sought. A sample without any span leaves the base
+    The network is trained on base spans of a bounded sample. Every whole text gets the spans of its best path, as if all
+    its overlapping windows were read and their scores put together (see ``decided``). A sample without any span leaves the base
     patterns alone. Null texts count as empty and have no spans; repeated rows are searched alike; an empty table gives
     an empty result; other columns are not looked at.
     """

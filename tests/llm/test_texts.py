@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -407,6 +408,31 @@ def test_network_tags_what_it_was_taught_and_windows_agree():
     assert pii.train([("abc", [0, 0, 0])]) is None
 
 
+def test_the_network_finds_what_reading_every_window_finds():
+    """Any network, sure of little or of much: the spans are those of the whole text's best path, scores of all windows."""
+    rng = np.random.default_rng(5)
+    p = {"out": rng.normal(0, 1.5, (2 * pii.HIDDEN, pii.TAGS)), "turns": rng.normal(0, .5, (pii.TAGS, pii.TAGS))}
+    for side in "fb":
+        p["x" + side] = rng.normal(0, 1, (pii.VOCABULARY, 4 * pii.HIDDEN))
+        p["h" + side] = rng.normal(0, .5, (pii.HIDDEN, 4 * pii.HIDDEN))
+    tags = [t for t in range(1, pii.TAGS)]
+    p["turns"][[2 * k - 1 for k in range(1, 5)], [2 * k for k in range(1, 5)]] += 2
+    p["turns"][[2 * k for k in range(1, 5)], [2 * k for k in range(1, 5)]] += 2
+    marks = lambda n: "".join(rng.choice(list(";,:.#-+/!? "), n))
+    texts = ["", "7", "a" * 40 + "@", *[marks(9 + 70 * i) + "5" + marks(60 * i) + "@" + marks(3) + "12" + marks(i) for i in range(12)]]
+    found = 0
+    for lean in (0.0, 3.0, 6.0, 12.0):
+        model = {k: np.asarray(x, np.float32) for k, x in {**p, "bias": np.where(np.isin(np.arange(pii.TAGS), tags), 0, lean)}.items()}
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+        got = [row for out in pii.finder(model)([batch]) for row in out.column(1).to_pylist()]
+        for text, spans in zip(texts, got):
+            best = pii.best_tags(pii.reconciled([text], model), model["turns"].astype(float))[0] if text else []
+            whole = pii.in_order(pii.base_spans(text), pii.tagged_spans(text, best), pii.KINDS)
+            assert [tuple(s.values()) for s in spans] == [tuple(s.values()) if isinstance(s, dict) else tuple(s) for s in whole]
+            found += len(whole)
+    assert found >= 10
+
+
 def test_copies_of_a_good_document_open_no_step(spark):
     """200 copies are one trial: they prove nothing about the share of good documents that a rule rejects."""
     good = invented(5, 120)
