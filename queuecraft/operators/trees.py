@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,13 +75,21 @@ def _background_table(value: float, share: np.ndarray) -> np.ndarray:
     return table
 
 
-def patterns_of(rows: np.ndarray, features: list[int], tests: list) -> np.ndarray:
-    """Which of a leaf's conditions each row meets, a bit per feature."""
+def patterns_of(rows: np.ndarray, features: list[int], tests: list, known: dict | None = None) -> np.ndarray:
+    """Which of a leaf's conditions each row meets, a bit per feature. Leaves share conditions: ``known`` keeps what was
+    already compared for these rows."""
+    known = {} if known is None else known
+
+    def meets(f: int, cut: float, low: bool) -> np.ndarray:
+        if (f, cut, low) not in known:
+            known[f, cut, low] = (rows[:, f] <= cut) if low else (rows[:, f] > cut)
+        return known[f, cut, low]
+
     pattern = np.zeros(len(rows), dtype=np.int64)
     for i, (f, conditions) in enumerate(zip(features, tests)):
-        met = np.ones(len(rows), dtype=bool)
-        for cut, low in conditions:
-            met &= (rows[:, f] <= cut) if low else (rows[:, f] > cut)
+        met = meets(f, *conditions[0])
+        for condition in conditions[1:]:
+            met = met & meets(f, *condition)
         pattern |= met.astype(np.int64) << i
     return pattern
 
@@ -117,11 +126,12 @@ def leaf_tables(nodes: pd.DataFrame, weights: list[float], background: tuple[np.
 
 
 def contributions_of(rows: np.ndarray, leaves: list) -> np.ndarray:
-    out = np.zeros_like(rows, dtype=np.float64)
+    by_feature = np.asfortranarray(rows)        # leaves read and add whole columns
+    out, known = np.zeros_like(by_feature, dtype=np.float64), {}
     for features, tests, table in leaves:
-        values = table[patterns_of(rows, features, tests)]
+        pattern = patterns_of(by_feature, features, tests, known)
         for i, f in enumerate(features):
-            out[:, f] += values[:, i]
+            out[:, f] += table[:, i][pattern]
     return out
 
 
@@ -154,12 +164,17 @@ def tree_contributions(df: DataFrame, path: str, key: str, features: str = "feat
     model = spark.sparkContext.broadcast(leaves)
     start = base * MARGIN_TO_LOG_ODDS
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.stack(batch["values"].to_numpy()) if len(batch) else np.zeros((0, 0))
-            phis = contributions_of(rows, model.value) * MARGIN_TO_LOG_ODDS
-            yield pd.DataFrame({key: batch[key], "base": start, "values": batch["values"], "phis": list(phis)})
-
-    kind = dict(df.dtypes)[key]
-    return df.select(key, vector_to_array(features).alias("values")).mapInPandas(
+            n, values = batch.num_rows, batch.column(1)
+            # all vectors have one length: cells and results stay flat, no row becomes an object of its own
+            rows = values.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
+            phis = np.ascontiguousarray(contributions_of(rows, model.value) * MARGIN_TO_LOG_ODDS)
+            ends = pa.array(np.arange(n + 1, dtype=np.int32) * rows.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.full(n, start)), values, pa.ListArray.from_arrays(ends, pa.array(phis.ravel()))],
+                names=[key, "base", "values", "phis"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, vector_to_array(features).alias("values")).mapInArrow(
         score, f"`{key}` {kind}, base double, values array<double>, phis array<double>")

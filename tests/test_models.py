@@ -222,3 +222,27 @@ def test_claims_are_dealt_before_they_are_widened(spark, sf):
     assert "MonthClaimed" not in below[below.index("Window"):]
     got = got.select(want.columns)
     assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
+def test_leaves_share_comparisons():
+    """A condition that several leaves hold is compared once for a batch; patterns and sums stay the same."""
+    rng = np.random.default_rng(2)
+    rows, known = rng.normal(size=(50, 3)), {}
+    tests = [[(0.1, True), (0.4, True)], [(0.0, False)]]
+    first = trees.patterns_of(rows, [0, 2], tests, known)
+    again = trees.patterns_of(rows, [0, 2], tests, known)
+    want = ((rows[:, 0] <= 0.1) & (rows[:, 0] <= 0.4)) + 2 * (rows[:, 2] > 0)
+    assert (first == want).all() and (again == want).all() and len(known) == 3
+    table = rng.normal(size=(4, 2))
+    phis = trees.contributions_of(rows, [([0, 2], tests, table)] * 2)
+    assert (phis == np.stack([table[want, 0], np.zeros(50), table[want, 1]], axis=1) * 2).all()
+
+
+def test_top_drivers_sort_without_a_comparing_expression(spark):
+    cells = [("a", -1.0), ("b", 3.0), ("c", None), ("d", -3.0), ("e", float("nan")), ("f", 0.5)]
+    df = spark.createDataFrame([(cells,), (None,)], "c array<struct<feature string, phi double>>")
+    out = df.select(explain.top_drivers(F.col("c"), 4).alias("t"))
+    assert "array_sort" not in out._jdf.queryExecution().analyzed().toString()
+    got = [[d["feature"] for d in r["t"]] if r["t"] else None for r in out.collect()]
+    old = F.transform(F.slice(F.array_sort(F.transform("c", lambda d, i: F.struct((-F.abs(d["phi"])).alias("o"), i.alias("at"), d.alias("d")))), 1, 4), lambda d: d["d"]["feature"])
+    assert got == [r["o"] for r in df.select(old.alias("o")).collect()]
