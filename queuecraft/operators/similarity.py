@@ -25,18 +25,20 @@ NEAR_SCHEMA = "query_id long, passage_id long, distance double"
 def nearest_in_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
     """The k nearest passages of this block per query, by squared Euclidean distance, then id."""
     rows = []
+    step = max(1, (1 << 22) // max(1, vectors.shape[1]))        # exact differences held at once
     for start in range(0, len(query_ids), 256):
         part = queries[start:start + 256]
         gap = (part ** 2).sum(1)[:, None] + (vectors ** 2).sum(1)[None, :] - 2.0 * part @ vectors.T
         # the product form finds the candidates (with slack for its rounding), exact differences order them
-        width = min(gap.shape[1], 4 * k + 16)
-        near = np.argpartition(gap, width - 1, axis=1)[:, :width] if width < gap.shape[1] else np.tile(np.arange(width), (len(part), 1))
-        for i, candidates in enumerate(near):
-            limit = np.sort(gap[i, candidates])[min(k, width) - 1]
-            close = np.flatnonzero(gap[i] <= limit + 1e-9 * (1.0 + abs(limit)))   # every tie of the k-th is kept
-            exact = ((vectors[close] - part[i]) ** 2).sum(1)
-            order = np.lexsort((ids[close], exact))[:k]
-            rows.append(pd.DataFrame({"query_id": query_ids[start + i], "passage_id": ids[close][order], "distance": exact[order]}))
+        last = min(gap.shape[1], k) - 1
+        limit = np.partition(gap, last, axis=1)[:, last]
+        row, close = np.nonzero(gap <= (limit + 1e-9 * (1.0 + np.abs(limit)))[:, None])     # every tie of the k-th is kept
+        exact = np.concatenate([np.zeros(0), *[((vectors[close[i:i + step]] - part[row[i:i + step]]) ** 2).sum(1)
+                                               for i in range(0, len(row), step)]])
+        order = np.lexsort((ids[close], exact, row))
+        place = np.arange(len(row)) - np.searchsorted(row, row)         # ``row`` ascends, so it is its own sorted form
+        order = order[place < k]
+        rows.append(pd.DataFrame({"query_id": query_ids[start + row[order]], "passage_id": ids[close[order]], "distance": exact[order]}))
     return pd.concat(rows, ignore_index=True) if rows else pd.DataFrame({"query_id": [], "passage_id": [], "distance": []})
 
 
@@ -126,6 +128,8 @@ def knn(queries: DataFrame, passages: DataFrame, k: int = TOP_K) -> DataFrame:
 
     asked = queries.select("query_id", "vector")
     near = visit(asked.mapInPandas(to_first, target))
+    if np.count_nonzero(size) == 1:         # every query has met the only cell there is
+        return top_k(near, k)
     bounds = top_k(near, k).groupBy("query_id").agg(F.max("distance").alias("_far"), F.count("*").alias("_n"))
     bounded = asked.join(bounds, "query_id").withColumn("bound", F.when(F.col("_n") >= k, F.col("_far")).otherwise(float("inf")))
     more = visit(bounded.select("query_id", "vector", "bound").mapInPandas(to_others, target))

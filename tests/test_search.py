@@ -3,10 +3,12 @@
 import json
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from queuecraft.operators import briefs, explain, learn, metrics, prep, resample, retrieval
+from queuecraft.operators import briefs, explain, learn, metrics, prep, resample, retrieval, similarity
 from queuecraft.plans import model_queries as M
 from queuecraft.plans import text_queries as T
 from queuecraft.plans import views as V
@@ -139,3 +141,28 @@ def test_scores_of_all_trials_are_measured_together(spark, folded, monkeypatch):
             model = learn.with_params(estimator, {"maxDepth": depth, "maxIter": 2}).fit(vectors.filter(F.col("fold") != i))
             areas.append(own(learn.score_with(model, vectors.filter(F.col("fold") == i), ["label"]), "score", "label").first()[0])
         assert abs(r.mean - sum(areas) / 2) < 1e-9 and abs(r["std"] - abs(areas[0] - areas[1]) / 2) < 1e-9
+
+
+def test_queries_of_a_block_are_answered_together(monkeypatch):
+    """The k nearest of 600 queries, ties by id, come from one frame per 256 queries, not from one per query."""
+    rng, made = np.random.default_rng(3), []
+    asked, held = rng.integers(0, 3, (600, 4)).astype(float), rng.integers(0, 3, (90, 4)).astype(float)
+    ids, concat = rng.permutation(90), pd.concat
+    monkeypatch.setattr(similarity.pd, "concat", lambda rows, **o: made.extend(rows) or concat(rows, **o))
+    got = similarity.nearest_in_block(np.arange(600) + 7, asked, ids, held, 5)
+    gaps = ((asked[:, None] - held[None]) ** 2).sum(2)
+    want = [(i + 7, int(ids[j]), gaps[i, j]) for i in range(600) for j in sorted(range(90), key=lambda j: (gaps[i, j], ids[j]))[:5]]
+    assert list(got.itertuples(index=False, name=None)) == want
+    assert len(made) == 3
+
+
+def test_a_single_cell_is_visited_once(spark, monkeypatch):
+    rng, writes = np.random.default_rng(4), []
+    vectors = rng.normal(size=(40, 3))
+    frame = lambda name: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], f"{name} long, vector array<double>")
+    written = similarity.written
+    monkeypatch.setattr(similarity, "written", lambda df: writes.append(1) or written(df))
+    got = {(r["query_id"], r["rank"]): r["passage_id"] for r in similarity.knn(frame("query_id"), frame("passage_id"), 3).collect()}
+    gaps = ((vectors[:, None] - vectors[None]) ** 2).sum(2)
+    assert got == {(i, n + 1): int(j) for i in range(40) for n, j in enumerate(np.argsort(gaps[i], kind="stable")[:3])}
+    assert len(writes) == 3         # the cells, the visits and what they found
