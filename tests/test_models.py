@@ -75,6 +75,35 @@ def test_every_row_is_scored_by_a_model_that_did_not_see_it(rows):
     assert {r["id"]: r["score"] for r in got if r["fold"] == 1} == pytest.approx(want, abs=1e-6)
 
 
+def test_vectors_of_all_folds_are_made_together(rows):
+    folded = rows.withColumn("fold", (F.col("id") % 3).cast("int")).withColumn("c", F.when(F.col("id") == 1, "rare").otherwise(F.col("c")))
+    folded = folded.withColumn("y", F.when(F.col("id") % 5 == 2, float("nan")).otherwise(F.col("y")))
+    ready = prep.fit_folds(folded, "fold", 3, ["x", "y"], ["c"])
+    together = {r["id"]: r for r in prep.transform_folds(folded, ready, ["id"], "v").collect()}
+    assert "c_rare" not in ready[1].feature_names and "c_rare" in ready[0].feature_names
+    for i, one in enumerate(ready):
+        alone = {r["id"]: r["v"] for r in one.transform(folded, ["id"], vector="v").collect()}
+        assert len(alone) == 400 and all(together[k][f"v_{i}"] == v for k, v in alone.items())
+        some = one.transform(folded, ["id"], features=["y", *[n for n in one.feature_names if n[:2] == "c_"]], vector="v")
+        assert all(r["v"].toArray().tolist() == alone[r["id"]].toArray()[one.places(["y"], ["c"])].tolist() for r in some.collect())
+
+
+def test_arms_share_vectors_that_are_written_once(rows, monkeypatch):
+    folded = written(resample.stratified_folds(rows, "id", "label", 2))
+    make, arms = lambda: learn.logistic(regParam=0.01), {"numbers": (["y", "x"], []), "one": (["x"], ["c"]), "all": (["x", "y"], ["c"])}
+    made = []
+    monkeypatch.setattr(learn, "written", lambda df: made.append(df.columns) or written(df))
+    vectors = learn.fold_vectors(folded, "id", "label", "fold", 2, *arms["all"], inner=2)
+    scored = learn.folds_scored(folded, "id", "label", "fold", 2, {"l": make}, *arms["all"], arms=arms, vectors=vectors)
+    pruned = learn.pruned_folds_scored(folded, "id", "label", "fold", 2, make, *arms["all"], floor=0.01, vectors=vectors)
+    got = {(r["model"], r["id"]): r["score"] for r in scored.unionByName(pruned.drop("n_features")).collect()}
+    assert len(made) == 1 and len(got) == 1600
+    for name, columns in arms.items():
+        alone = learn.folds_scored(folded, "id", "label", "fold", 2, {name: make}, *columns).collect()
+        assert {r["id"]: r["score"] for r in alone} == pytest.approx({k: s for (m, k), s in got.items() if m == name}, abs=1e-6)
+    assert len(made) == 4
+
+
 def test_preprocessor_learns_from_train_only(spark, rows):
     train, other = rows.filter("id < 200"), rows.filter("id >= 200")
     ready = prep.Preprocessor.fit(train, ["x", "y"], ["c"])
