@@ -1,6 +1,8 @@
 import itertools
 import math
 import random
+import threading
+import time
 
 import numpy as np
 import pytest
@@ -104,6 +106,27 @@ def test_arms_share_vectors_that_are_written_once(rows, monkeypatch):
     assert len(made) == 4
 
 
+def test_fits_of_a_large_table_wait_for_each_other(rows, monkeypatch):
+    """A fit whose partitions fill the cluster runs alone: several would only hold more copies of the rows in memory."""
+    folded, running, seen, lock = written(resample.stratified_folds(rows, "id", "label", 2)), [], [], threading.Lock()
+
+    class Slow:
+        def fit(self, train):
+            with lock:
+                running.append(1)
+                seen.append(len(running))
+            time.sleep(0.5)
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(learn, "score_with", lambda model, df, keep: df.select(*keep, F.lit(0.5).alias("score")))
+    for cells in (learn.PART_CELLS, 1):
+        monkeypatch.setattr(learn, "PART_CELLS", cells)
+        seen.clear()
+        assert learn.folds_scored(folded, "id", "label", "fold", 2, {"a": Slow, "b": Slow}, ["x"], []).count() == 800
+        assert len(seen) == 4 and (max(seen) == 1) == (cells == 1)
+
+
 def test_preprocessor_learns_from_train_only(spark, rows):
     train, other = rows.filter("id < 200"), rows.filter("id >= 200")
     ready = prep.Preprocessor.fit(train, ["x", "y"], ["c"])
