@@ -26,13 +26,15 @@ def linear_contributions(df: DataFrame, weights: Mapping[str, float], means: Map
 def named_contributions(values: Column, phis: Column, names: Sequence[str]) -> Column:
     """Zip positional arrays with the names of the features the model consumed, in its order."""
     keys = F.array(*[F.lit(n) for n in names])
-    pairs = F.arrays_zip(keys.alias("feature"), values.alias("value"), phis.alias("phi"))
-    return F.transform(pairs, lambda p: F.struct(p["feature"].alias("feature"), p["value"].alias("value"), p["phi"].alias("phi")))
+    return F.arrays_zip(keys.alias("feature"), values.alias("value"), phis.alias("phi"))
 
 
-def top_drivers(contributions: Column, k: int = N_DRIVERS) -> Column:
+def top_drivers(contributions: Column, k: int = N_DRIVERS, places: Column | None = None) -> Column:
     """The k largest by absolute size inside the row: an array sort, no shuffle. The place makes every element unlike all
-    others, so the natural order of the structs decides; no comparison is evaluated as an expression."""
+    others, so the natural order of the structs decides; no comparison is evaluated as an expression. ``places``, if
+    given, are those of the largest in this order (at least k, from 0): then nothing is sorted."""
+    if places is not None:
+        return F.transform(F.slice(places, 1, k), lambda i: F.get(contributions, i))
     keyed = F.transform(contributions, lambda d, i: F.struct(
         (-F.abs(d["phi"])).alias("order"), i.alias("at"), d.alias("driver")))
     return F.transform(F.slice(F.sort_array(keyed), 1, k), lambda d: d["driver"])

@@ -8,13 +8,13 @@ a table lookup per leaf. Vectorised over Arrow batches; the model is the only th
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARGIN_TO_LOG_ODDS = 2.0  # the probability is a logistic of twice the ensemble's margin
@@ -145,36 +145,53 @@ def background_of(df: DataFrame, key: str, features: str = "features", weight: s
     return np.array([r["x"] for r in rows]), np.array([r["w"] for r in rows])
 
 
+def log_odds() -> Column:
+    """What the model itself says of a row it has scored."""
+    return MARGIN_TO_LOG_ODDS * vector_to_array("rawPrediction")[1]
+
+
+def total() -> Column:
+    """Base and contributions of a row together."""
+    return F.col("base") + F.aggregate("phis", F.lit(0.0), lambda a, x: a + x)
+
+
 def additivity(contributions: DataFrame, scored: DataFrame, key: str) -> DataFrame:
     """Contributions with the model's own log-odds and how far base and contributions together miss them."""
-    own = scored.select(key, (MARGIN_TO_LOG_ODDS * vector_to_array("rawPrediction")[1]).alias("log_odds"))
-    total = F.col("base") + F.aggregate("phis", F.lit(0.0), lambda a, x: a + x)
+    own = scored.select(key, log_odds().alias("log_odds"))
     # one row each: the planner may guess from the compressed files that one side is small enough for every task
-    return contributions.hint("merge").join(own, key).withColumn("gap", F.abs(total - F.col("log_odds")))
+    return contributions.hint("merge").join(own, key).withColumn("gap", F.abs(total() - F.col("log_odds")))
 
 
 def tree_contributions(df: DataFrame, path: str, key: str, features: str = "features",
-                       background: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """(key, base, values, phis) of a boosted ensemble saved at ``path``; base + sum(phis) is the log-odds.
+                       background: tuple[np.ndarray, np.ndarray] | None = None, keep: Sequence[str] = (),
+                       strongest: int = 0) -> DataFrame:
+    """(key, base, values, phis, keep) of a boosted ensemble saved at ``path``; base + sum(phis) is the log-odds.
 
-    With ``background`` an unknown feature is taken from the background rows instead of from the trees' row counts.
+    With ``background`` an unknown feature is taken from the background rows instead of from the trees' row counts. With
+    ``strongest`` the places of so many largest contributions by absolute size are added (``strongest``, ties by place).
     """
     spark = df.sparkSession
     leaves, base = leaf_tables(*saved_nodes(spark, path), background)
     model = spark.sparkContext.broadcast(leaves)
     start = base * MARGIN_TO_LOG_ODDS
 
+    names = [key, "base", "values", "phis", *keep, *(["strongest"] if strongest else [])]
+
+    def listed(cells: np.ndarray) -> pa.ListArray:
+        ends = pa.array(np.arange(len(cells) + 1, dtype=np.int32) * cells.shape[1], pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(cells.ravel()))
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, values = batch.num_rows, batch.column(1)
             # all vectors have one length: cells and results stay flat, no row becomes an object of its own
             rows = values.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
             phis = np.ascontiguousarray(contributions_of(rows, model.value) * MARGIN_TO_LOG_ODDS)
-            ends = pa.array(np.arange(n + 1, dtype=np.int32) * rows.shape[1], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(n, start)), values, pa.ListArray.from_arrays(ends, pa.array(phis.ravel()))],
-                names=[key, "base", "values", "phis"])
-
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(key, vector_to_array(features).alias("values")).mapInArrow(
-        score, f"`{key}` {kind}, base double, values array<double>, phis array<double>")
+            columns = [batch.column(0), pa.array(np.full(n, start)), values, listed(phis), *batch.columns[2:]]
+            if strongest:
+                columns.append(listed(np.argsort(-np.abs(phis), axis=1, kind="stable")[:, :strongest].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kind = lambda c: f"`{c}` {df.schema[c].dataType.simpleString()}"
+    return df.select(key, vector_to_array(features).alias("values"), *keep).mapInArrow(
+        score, ", ".join([kind(key), "base double, values array<double>, phis array<double>", *map(kind, keep), *(["strongest array<int>"] if strongest else [])]))

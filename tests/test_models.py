@@ -298,3 +298,15 @@ def test_top_drivers_sort_without_a_comparing_expression(spark):
     got = [[d["feature"] for d in r["t"]] if r["t"] else None for r in out.collect()]
     old = F.transform(F.slice(F.array_sort(F.transform("c", lambda d, i: F.struct((-F.abs(d["phi"])).alias("o"), i.alias("at"), d.alias("d")))), 1, 4), lambda d: d["d"]["feature"])
     assert got == [r["o"] for r in df.select(old.alias("o")).collect()]
+
+
+def test_contributions_query_gives_contributions_and_gap(spark, sf):
+    """All that the query names comes out: each claim's contributions, its five strongest and the additivity gap."""
+    got = model_queries.tree_contributions(spark, sf).collect()
+    assert len(got) == spark.read.parquet(f"{sf}/orders.parquet").count()
+    for r in got[:200]:
+        phis = [c["phi"] for c in r["contributions"]]
+        log_odds = r["base"] + sum(phis)
+        assert r["gap"] < 1e-9 and r["probability"] == pytest.approx(1 / (1 + math.exp(-log_odds)))
+        order = sorted(range(len(phis)), key=lambda i: (-abs(phis[i]), i))[:5]
+        assert r["drivers"] == ",".join(r["contributions"][i]["feature"] for i in order)
