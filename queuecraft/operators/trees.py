@@ -158,8 +158,10 @@ def total() -> Column:
 def additivity(contributions: DataFrame, scored: DataFrame, key: str) -> DataFrame:
     """Contributions with the model's own log-odds and how far base and contributions together miss them."""
     own = scored.select(key, log_odds().alias("log_odds"))
+    # summed before the join: who asks for the gap alone has two numbers a row shuffled, not all contributions
+    summed = contributions.withColumn("_total", total())
     # one row each: the planner may guess from the compressed files that one side is small enough for every task
-    return contributions.hint("merge").join(own, key).withColumn("gap", F.abs(total() - F.col("log_odds")))
+    return summed.hint("merge").join(own, key).withColumn("gap", F.abs(F.col("_total") - F.col("log_odds"))).drop("_total")
 
 
 def tree_contributions(df: DataFrame, path: str, key: str, features: str = "features",

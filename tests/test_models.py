@@ -310,3 +310,11 @@ def test_contributions_query_gives_contributions_and_gap(spark, sf):
         assert r["gap"] < 1e-9 and r["probability"] == pytest.approx(1 / (1 + math.exp(-log_odds)))
         order = sorted(range(len(phis)), key=lambda i: (-abs(phis[i]), i))[:5]
         assert r["drivers"] == ",".join(r["contributions"][i]["feature"] for i in order)
+
+
+def test_additivity_sums_contributions_before_the_join(spark):
+    contributions = spark.createDataFrame([(i, 0.5, [1.0], [float(i)]) for i in range(5)], "id long, base double, values array<double>, phis array<double>")
+    scored = VectorAssembler(inputCols=["m", "m"], outputCol="rawPrediction").transform(spark.createDataFrame([(i, 0.5 * (0.5 + i)) for i in range(5)], "id long, m double"))
+    got = trees.additivity(written(contributions), written(scored), "id").agg(F.max("gap"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "phis" not in plan[:plan.index("Join")] and got.first()[0] < 1e-12
