@@ -300,6 +300,26 @@ def test_top_drivers_sort_without_a_comparing_expression(spark):
     assert got == [r["o"] for r in df.select(old.alias("o")).collect()]
 
 
+def test_medians_are_exact_whether_or_not_their_middle_values_are_equal(spark):
+    """Columns whose middle values are equal are settled by counts; the others, and those the sketch misses, still are."""
+    rnd = random.Random(8)
+    cells = [(float(rnd.randint(0, 3)), rnd.random(), None if i % 3 else rnd.gauss(0, 1), None, float("nan") if i % 5 == 0 else float(i % 2), i)
+             for i in range(1000)]
+    df = spark.createDataFrame(cells, "a double, b double, c double, d double, e double, f long")
+    got = prep.exact_medians(df, df.columns)
+    for j, name in enumerate(df.columns):
+        known = [float(r[j]) for r in cells if r[j] is not None and r[j] == r[j]]
+        assert got.get(name) == (pytest.approx(float(np.median(known))) if known else None)
+
+
+def test_moments_read_columns_in_small_groups(rows, monkeypatch):
+    monkeypatch.setattr(prep, "CHUNK", 2)
+    got = prep.fit_moments(rows.withColumn("z", F.col("id") * 0.5), ["x", "y", "z"])
+    xs = [r["x"] for r in rows.collect() if r["x"] is not None]
+    assert got["x"] == pytest.approx((float(np.mean(xs)), float(np.std(xs)))) and got["z"][0] == pytest.approx(99.75)
+    assert prep.fit_moments(rows, []) == {}
+
+
 def test_contributions_query_gives_contributions_and_gap(spark, sf):
     """All that the query names comes out: each claim's contributions, its five strongest and the additivity gap."""
     got = model_queries.tree_contributions(spark, sf).collect()
