@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 import random
 import threading
 import time
@@ -338,3 +339,19 @@ def test_additivity_sums_contributions_before_the_join(spark):
     got = trees.additivity(written(contributions), written(scored), "id").agg(F.max("gap"))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "phis" not in plan[:plan.index("Join")] and got.first()[0] < 1e-12
+
+
+def test_permuted_rows_are_measured_in_blocks(spark, rows, monkeypatch):
+    """Few rows at once, whatever the number of repeats and features; the result is that of one block, and no files stay."""
+    filled = written(rows.fillna({"x": 0.0}).drop("c"))
+    measure = lambda: {r["feature"]: (r["mean_drop"], r["std_drop"]) for r in learn.permutation_importance(
+        filled, "id", "label", ["x", "y"], lambda df: df.withColumn("score", F.col("x") + F.col("y")), repeats=3).collect()}
+    whole, sizes, areas = measure(), [], learn.metrics.areas
+    monkeypatch.setattr(learn, "BLOCK_ROWS", 400)
+    monkeypatch.setattr(learn.metrics, "areas", lambda df, *a, **b: sizes.append(df.count()) or areas(df, *a, **b))
+    gone, scrap = [], learn.scrapped
+    monkeypatch.setattr(learn, "scrapped", lambda spark, df: (gone.extend(df.inputFiles()), scrap(spark, df)))
+    got = measure()
+    assert sizes == [400] * 6 and got.keys() == whole.keys()
+    assert all(got[f] == pytest.approx(whole[f]) for f in whole)
+    assert gone and not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in gone)
