@@ -27,13 +27,24 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")       # AKIA[A-Z0-9]+ of 18 characters and more: its runs are maximal
 HEX = re.compile(r"[0-9a-f]{16,}")              # likewise
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# bytes without which no text matches: a word of ASSIGN in small letters, a run of HEX shown as one letter
+ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
+HEX_BYTES = bytes(ord("h") if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 QUOTES = "\"'`,;.()[]{}<>*$%&#|!"
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
-    out = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
-    out += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
-    return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
+    """Searches of bytes tell which patterns a text can hold; most texts hold none, and no pattern is run on them."""
+    raw = text.encode("utf-8", "surrogatepass")
+    low = raw.lower()
+    out = []
+    if any(word in low for word in ASSIGN_WORDS):
+        out += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
+    if b"AKIA" in raw:
+        out += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
+    if b"h" * 16 in raw.translate(HEX_BYTES):
+        out += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
+    return out
 
 
 def secret_parts(text: str) -> list[tuple[int, int]]:
@@ -82,14 +93,13 @@ class Field:
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
         known = self.words
-        for word in set(words):
-            if word not in known:
-                names = self.names(word)
-                if names not in self.kinds:
-                    self.kinds[names] = len(self.rows)
-                    self.rows.append(sum((np.array(self.weights[x]) for x in names if x in self.weights),
-                                         np.zeros((self.PLACES, 3))))
-                known[word] = self.kinds[names]
+        for word in set(words).difference(known):
+            names = self.names(word)
+            if names not in self.kinds:
+                self.kinds[names] = len(self.rows)
+                self.rows.append(sum((np.array(self.weights[x]) for x in names if x in self.weights),
+                                     np.zeros((self.PLACES, 3))))
+            known[word] = self.kinds[names]
         if len(self.table) < len(self.rows):
             self.table = np.array(self.rows)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
